@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_files, warc
+from . import decontaminate, matroska, packing, simhash, token_files, toxicity, warc
 from .common import shared_dir
 
 
@@ -19,11 +20,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.text_media(table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.read_token_files(token_files.write_token_files(docs, shared_dir(spark, "token-files"), tokenizer_path()))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def held_out() -> Column:
+    """Rows whose labels are not learnt."""
+    return F.expr("crc32(cast(doc_id as string)) % 5 = 0")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=~held_out())
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", F.expr("int(score >= 0.5)").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -33,5 +58,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("key as page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op6_token_files, op9_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_media, op4_simhash, op6_token_files, op7_decontamination, op8_toxicity, op9_packing, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}
