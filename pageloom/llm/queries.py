@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, matroska, packing, simhash, token_files, toxicity, warc
+from . import decontaminate, html_extract, matroska, packing, pii, secrets, simhash, token_files, toxicity, warc
 from .common import shared_dir
 
 
@@ -20,15 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.text_media(table(spark, sf_dir, "documents"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents"), secrets.train(secrets.samples(spark))))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.read_token_files(token_files.write_token_files(docs, shared_dir(spark, "token-files"), tokenizer_path()))
@@ -58,5 +70,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("key as page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_media, op4_simhash, op6_token_files, op7_decontamination, op8_toxicity, op9_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_media, op3_secrets, op4_simhash, op5_pii, op6_token_files, op7_decontamination, op8_toxicity, op9_packing, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}
