@@ -55,10 +55,13 @@ def held_out() -> Column:
     return F.expr("crc32(cast(doc_id as string)) % 5 = 0")
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.train(docs, table(spark, sf_dir, "labels"), usable=~held_out())
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=~held_out())
-    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", F.expr("int(score >= 0.5)").alias("predicted"))
+    return toxicity.score(docs, toxicity_model(spark, docs, sf_dir)).select("doc_id", held_out().alias("held_out"), "score", F.expr("int(score >= 0.5)").alias("predicted"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
