@@ -69,24 +69,33 @@ def train(labelled: DataFrame, smoothing: float = 0.5, alphabet: int = 66) -> li
     return [x - y for x, y in zip(logs(counts[True]), logs(counts[False]), strict=True)]
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once however often the body, or a lambda within it, uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _places(text: Column, pattern: str, block: int = 256) -> Column:
     """array<struct<start, end>> of all matches, in order, in code points, end exclusive."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    steps = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("own")))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / block).cast("int")), lambda k: F.slice(steps, k * block + 1, F.lit(block)))
-    sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, s: n + s["gap"] + s["own"]))
-    first = F.aggregate(sums, F.array(F.lit(0)), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
-    empty = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>").alias("out"))
+    none = F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")
+
+    def steps(matches: Column) -> Column:
+        return F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("own")))
+
+    def blocks(steps: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int")), lambda k: F.slice(steps, k * block + 1, F.lit(block)))
 
-    def places(b: Column, k: Column) -> Column:
-        def step(held, s):
-            start = held["at"] + s["gap"]
-            return F.struct((start + s["own"]).alias("at"), F.concat(held["out"], F.array(F.struct(start.alias("start"), (start + s["own"]).alias("end")))).alias("out"))
+    def firsts(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, s: n + s["gap"] + s["own"]))
+        return F.aggregate(sums, F.array(F.lit(0)), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
 
-        return F.aggregate(b, F.struct(F.element_at(first, k + 1).alias("at"), empty["out"].alias("out")), step)["out"]
+    def step(held: Column, s: Column) -> Column:
+        start = held["at"] + s["gap"]
+        return F.struct((start + s["own"]).alias("at"), F.concat(held["out"], F.array(F.struct(start.alias("start"), (start + s["own"]).alias("end")))).alias("out"))
 
-    return F.flatten(F.transform(blocks, places))
+    def places(blocks: Column) -> Column:
+        return let(firsts(blocks), lambda first: F.flatten(F.transform(blocks, lambda b, k: F.aggregate(b, F.struct(F.element_at(first, k + 1).alias("at"), none.alias("out")), step)["out"])))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: let(steps(m), lambda s: let(blocks(s), places)))
 
 
 def _spans(kind: str, places: Column) -> Column:
@@ -108,9 +117,11 @@ def scan(docs: DataFrame, ratios: list[float], *, text_col: str = "text", out_co
     table = F.from_json(F.lit(json.dumps([round(max(-99.0, x), 6) for x in ratios])), "array<double>")
 
     def ratio(token: Column) -> Column:
-        codes = F.transform(F.split(token, ""), lambda c: F.ascii(c))
-        pairs = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: F.element_at(table, a * 128 + b + 1))
-        return F.aggregate(pairs, F.lit(0.0), lambda n, x: n + x) / F.greatest(F.size(codes) - 1, F.lit(1))
+        def mean(codes: Column) -> Column:
+            pairs = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: F.element_at(table, a * 128 + b + 1))
+            return F.aggregate(pairs, F.lit(0.0), lambda n, x: n + x) / F.greatest(F.size(codes) - 1, F.lit(1))
+
+        return let(F.transform(F.split(token, ""), lambda c: F.ascii(c)), mean)
 
     pattern = TOKEN % least_chars
     tokens = F.zip_with(_places(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p, m: F.struct(p["start"].alias("start"), p["end"].alias("end"), ratio(m).alias("ratio")))
@@ -141,15 +152,20 @@ def digest(found: DataFrame, id_col: str = "doc_id", out_col: str = "found") ->
 def redact(docs: DataFrame, ratios: list[float], *, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with the same columns and every span of the text replaced; spans that overlap or touch are replaced together. Null texts stay null."""
     found = scan(docs, ratios, text_col=text_col, out_col="_found", **options)
-    text, spans = F.col(text_col), F.col("_found")["spans"]
+    text = F.col(text_col)
 
     def merge(out, s):
         last = F.try_element_at(out, F.lit(-1))
         longer = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
         return F.when((F.size(out) > 0) & (last["end"] >= s["start"]), longer).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
 
-    merged = F.aggregate(spans, F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>"), merge)
-    edges = F.flatten(F.array(F.array(F.lit(0)), F.transform(merged, lambda s: s["end"])))
-    starts = F.flatten(F.array(F.transform(merged, lambda s: s["start"]), F.array(F.length(text))))
-    masked = F.array_join(F.zip_with(edges, starts, lambda a, z: text.substr(a + 1, z - a)), mask)
-    return found.select(*(F.when(F.size(spans) > 0, masked).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    def masked(merged: Column) -> Column:
+        edges = F.flatten(F.array(F.array(F.lit(0)), F.transform(merged, lambda s: s["end"])))
+        starts = F.flatten(F.array(F.transform(merged, lambda s: s["start"]), F.array(F.length(text))))
+        return F.array_join(F.zip_with(edges, starts, lambda a, z: text.substr(a + 1, z - a)), mask)
+
+    def replaced(spans: Column) -> Column:
+        merged = F.aggregate(spans, F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>"), merge)
+        return F.when(F.size(spans) > 0, let(merged, masked)).otherwise(text)
+
+    return found.select(*(let(F.col("_found")["spans"], replaced).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
