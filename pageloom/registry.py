@@ -203,7 +203,7 @@ def body_font_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _MODE + ", s AS (SELECT DISTINCT p_brand, p_size FROM part), k AS (SELECT p_brand, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS rank FROM s JOIN b USING (p_brand) WHERE p_size::DOUBLE > body_size::DOUBLE * 1.15::DOUBLE)"
-    " SELECT p_brand AS document_id, p_partkey::INTEGER AS elem_seq, least(rank, 4)::INTEGER AS depth FROM part LEFT JOIN k USING (p_brand, p_size)"
+    " SELECT p_brand AS document_id, p_partkey::INTEGER AS elem_seq, CASE WHEN rank IS NOT NULL THEN least(rank, 4)::INTEGER END AS depth FROM part LEFT JOIN k USING (p_brand, p_size)"
 )
 def heading_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = A.part_elements(spark, sf_dir)
