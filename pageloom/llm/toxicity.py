@@ -10,7 +10,7 @@ of all rows. Label rows without an id or label are left out, an id with several
 labels without a document have no effect.
 
 Rows: a null or empty text has no terms and gets the score of the machine's bias. Repeated rows get a row each. Without
-labels of both classes the score is the labels' mean (0.5 without labels) for every text. Other columns are not read.
+labels of both classes every text has the same score, (toxic + 0.5) / (labelled + 2), so nothing is rejected unasked. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, *, usable: Column | None = None, i
     found = cut(texts.join(F.broadcast(own), "doc_id").select("doc_id", "y", "text").mapInArrow(terms, "doc_id long, y int, terms array<int>"), "terms")  # max_rows ids are broadcast
     n, toxic = found.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < toxic < n:
-        share = (toxic + 0.5) / (n + 1)
+        share = (toxic + 0.5) / (n + 2)
         return Model(buckets, {}, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, 1)))
     held = found.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").cast("double").alias("n1"), F.sum("y").cast("double").alias("a"))
     # a: toxic with the term, b: other with it, c: toxic without, d: other without
