@@ -27,7 +27,7 @@ def shared_base(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = getattr(sc, "_pageloom_base", None)
         if base is None:
