@@ -28,18 +28,18 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-#: After A-Z are lower-cased: digits, a-z and everything beyond ASCII.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+#: Of UTF-8 after A-Z are lower-cased: digits, a-z and everything beyond ASCII.
+WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")
 
 
-def words_of(text: str | None) -> list[str]:
+def words_of(text: bytes | str | None) -> list[bytes]:
+    """The words in UTF-8; lower() of bytes changes A-Z only."""
     if not text:
         return []
-    return WORD.findall(text.lower() if text.isascii() else text.translate(_LOWER))
+    return WORD.findall((text.encode() if isinstance(text, str) else text).lower())
 
 
-def windows_of(words: list[str], window: int) -> Iterator[tuple[str, ...]]:
+def windows_of(words: list[bytes], window: int) -> Iterator[tuple[bytes, ...]]:
     for at in range(max(1, len(words) - window + 1) if words else 0):
         yield tuple(words[at : at + window])
 
@@ -47,21 +47,21 @@ def windows_of(words: list[str], window: int) -> Iterator[tuple[str, ...]]:
 class Index:
     """The windows of a block of items, filed under their rarest shingle."""
 
-    def __init__(self, items: list[tuple[int | None, list[str]]], window: int, shingle: int, counts: dict[tuple[str, ...], int]):
+    def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int, shingle: int, counts: dict[tuple[bytes, ...], int]):
         self.shingle, self.ids = shingle, [i for i, _ in items]
-        owners: dict[tuple[str, ...], set[int]] = {}
+        owners: dict[tuple[bytes, ...], set[int]] = {}
         for at, (_, words) in enumerate(items):
             for w in windows_of(words, window):
                 owners.setdefault(w, set()).add(at)
-        self.by_shingle: dict[str | tuple[str, ...], list[tuple[int, tuple[str, ...], list[int]]]] = {}
+        self.by_shingle: dict[bytes | tuple[bytes, ...], list[tuple[int, tuple[bytes, ...], list[int]]]] = {}
         for w, own in owners.items():
             k = min(shingle, len(w))
             _, rarest, place = min((counts.get(w[p : p + k], 0), w[p : p + k], p) for p in range(len(w) - k + 1))
             self.by_shingle.setdefault(rarest[0] if k == 1 else rarest, []).append((place, w, sorted(own)))
-        self.first = {k if isinstance(k, str) else k[0] for k in self.by_shingle}
-        self.sizes = sorted({1 if isinstance(k, str) else len(k) for k in self.by_shingle})
+        self.first = {k if isinstance(k, bytes) else k[0] for k in self.by_shingle}
+        self.sizes = sorted({1 if isinstance(k, bytes) else len(k) for k in self.by_shingle})
 
-    def find(self, words: list[str]) -> tuple[list[tuple[int, int]], set[int]]:
+    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
         """Spans of words that windows cover, and the items that own these windows."""
         spans, found, first = [], set(), self.first
         if first.isdisjoint(words):
@@ -76,7 +76,7 @@ class Index:
         return spans, found
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, list[str]]]]:
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
     """The benchmark's items with their words, as lists of bounded size; the driver holds one at a time."""
     part, held = [], 0
     for i, text in benchmark.select(id_col, text_col).toLocalIterator():
@@ -89,7 +89,7 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int
         yield part
 
 
-def shingle_counts(docs: DataFrame, wanted: set[tuple[str, ...]]) -> dict[tuple[str, ...], int]:
+def shingle_counts(docs: DataFrame, wanted: set[tuple[bytes, ...]]) -> dict[tuple[bytes, ...], int]:
     """How often each of these shingles occurs in all documents (a column ``text``)."""
     held = docs.sparkSession.sparkContext.broadcast(wanted)
 
@@ -100,18 +100,18 @@ def shingle_counts(docs: DataFrame, wanted: set[tuple[str, ...]]) -> dict[tuple[
         sizes = sorted({len(w) for w in wanted})
         single = {w[0] for w in wanted if len(w) == 1}
         for b in batches:
-            for text in b["text"].to_pylist():
+            for text in b["text"].cast(pa.binary()).to_pylist():
                 words = words_of(text)
                 for k in sizes:
                     if k == 1:
-                        total.update((w,) for w in words if w in single)
+                        total.update(filter(single.__contains__, words))
                     else:
                         total.update(s for s in zip(*(words[i:] for i in range(k)), strict=False) if s in wanted)
-        yield pa.RecordBatch.from_arrays([pa.array([" ".join(s) for s in total], pa.string()), pa.array([*total.values()], pa.int64())], names=["shingle", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([s if isinstance(s, bytes) else b" ".join(s) for s in total], pa.binary()), pa.array([*total.values()], pa.int64())], names=["shingle", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "shingle string, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()  # at most the block's shingles
+    rows = docs.select("text").mapInArrow(count, "shingle binary, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()  # at most the block's shingles
     held.unpersist()
-    return {tuple(r["shingle"].split(" ")): r["n"] for r in rows}
+    return {tuple(bytes(r["shingle"]).split(b" ")): r["n"] for r in rows}
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 1, block_chars: int = 16 << 20, keep: list[str] | None = None) -> DataFrame:
@@ -145,7 +145,7 @@ def _join(held):
         index = held.value
         for b in batches:
             n_words, hits, items, n_items = [], [], [], []
-            for text, old_hits, old_items, old_n in zip(*(b[c].to_pylist() for c in ("text", "hits", "items", "n_items")), strict=True):
+            for text, old_hits, old_items, old_n in zip(b["text"].cast(pa.binary()).to_pylist(), *(b[c].to_pylist() for c in ("hits", "items", "n_items")), strict=True):
                 words = words_of(text)
                 spans, found = index.find(words)
                 n_words.append(len(words))
