@@ -74,4 +74,29 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_media, op3_secrets, op4_simhash, op5_pii, op6_token_files, op7_decontamination, op8_toxicity, op9_packing, op10_warc)}
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w"
+
+#: DuckDB's SQL; the other operators learn, hash with XXH64 or run a tokenizer, and are tested against plain versions.
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": f"""
+WITH item_words AS (SELECT item_id, {_WORDS} FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS s
+  FROM item_words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(k) WHERE len(w) > 0),
+doc_words AS (SELECT doc_id, {_WORDS} FROM documents),
+places AS (SELECT doc_id, m, k, array_to_string(w[k : k + m - 1], ' ') AS s
+  FROM doc_words, (SELECT DISTINCT m FROM windows), unnest(range(1, len(w) - m + 2)) AS t(k)),
+found AS (SELECT doc_id, item_id, k, m FROM places JOIN windows USING (m, s)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM found, unnest(range(k, k + m)) AS t(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS target FROM p GROUP BY d),
+bits AS (SELECT *, list_transform(range(8), lambda g: ('0x' || substr(d, (g * 5 + 1)::INTEGER, 5))::INTEGER) AS groups FROM p JOIN f USING (d))
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((groups[(k // 4 + 1)::INTEGER] >> (15 - 5 * (k % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = target THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> target THEN target END AS refers_to
+FROM bits""",
+}
