@@ -41,6 +41,8 @@ _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|nav\w*|menu|breadcrumbs?|toolbar|pagination|pager|footer|masthead|topbar|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|subscri\w*|newsletter|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|discussion|widget|skip|copyright|complementary|contentinfo|navigation|dialog|form|hidden)(?:$|[\s_-])",
     re.I,
 ).search
+#: Words that no other word in the attributes outweighs, at the start of a name.
+_FOREIGN = re.compile(r"(?:^|\s)(?:comment|advert|cookie|sidebar)", re.I).search
 _KEPT = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|body|text)(?:$|[\s_-])", re.I).search
 
 
@@ -137,8 +139,7 @@ def parse(page: str) -> Iterator[tuple[str, Element, int, bool]]:
             said = {k.lower(): a or b or c for k, a, b, c in _ATTR(attrs)}
             words = " ".join(said.get(k, "") for k in ("class", "id", "role"))
             marked = bool(_MARKED(words)) and not (_KEPT(words) and name not in ("form", "ul")) or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "")
-            if marked is False and re.search(r"comment|advert|cookie|sidebar", words, re.I):
-                marked = True
+            marked = marked or bool(_FOREIGN(words))
         elif attrs.strip().lower() == "hidden":
             marked = True
         if len(stack) > DEEPEST:  # as browsers do, no deeper: the text counts for the element it is in
