@@ -56,7 +56,7 @@ def test_main_text():
     article = "<h1>Title</h1><p>First para, with &amp; text.\n More, and more.<p>Second &copy; one, <i>it</i>al<b>ic</b>.<p>Short"
     want = "Title\nFirst para, with & text. More, and more.\nSecond © one, italic.\nShort"
     clutter = "<header><p>Site name, since then.</p></header><nav><ul><li><a href='/'>Home</a><li><a>More</a></ul></nav><div class='cookie-notice'><p>We use cookies, and more. Accept, or leave.</p></div>"
-    tail = "<aside><p>Side text, long; longer than the rest, by far, so that it counts. Very long, indeed.</p></aside><form><label>Mail</label></form><section id=comments><p>Great article, thanks! I liked it, truly.</p></section><div class="comment-content"><p>Another comment, by a reader; quite long, too.</p></div><footer>&copy; X, Y. All rights.</footer><script>var t='</p>'</script>"
+    tail = "<aside><p>Side text, long; longer than the rest, by far, so that it counts. Very long, indeed.</p></aside><form><label>Mail</label></form><section id=comments><p>Great article, thanks! I liked it, truly.</p></section><div class='comment-content'><p>Another comment, by a reader; quite long, too.</p></div><footer>&copy; X, Y. All rights.</footer><script>var t='</p>'</script>"
     for around in ("<article>%s</article>", '<div class="post has-sidebar">%s</div>', "<main>%s</main>", '<div class="content">%s</div>', '<div id="post-body"><div>%s</div></div>'):
         assert html_extract.extract(page(clutter + around % article + tail)) == want
     assert html_extract.extract(page("<article><p><b>Left open.<br></article>" + tail)) == "Left open."
