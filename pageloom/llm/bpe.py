@@ -24,7 +24,7 @@ class CachedEncoder:
     Texts that hold an added token's string are encoded whole. At most two generations of ``words`` parts are remembered.
     """
 
-    def __init__(self, path: str, words: int = 400_000):
+    def __init__(self, path: str, words: int = 900_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,9 +60,7 @@ class CachedEncoder:
         if len(self.young) > self.words:
             self.old, self.young = self.young, {}
         young, old, composed, plain = self.young, self.old, {}, {}
-        for part in {*parts}:
-            if part in young:
-                continue
+        for part in {*parts}.difference(young):
             if (known := old.get(part)) is not None:
                 young[part] = known
             elif _SIMPLE(part) and "\n\n" not in part and not part.endswith("\n") and len(pieces := _PARTS(part)) > 1:
