@@ -4,7 +4,7 @@ A page's text is split into nodes, each with its path of tags from the root. For
 punctuation marks, the nodes and the spread of the nodes' lengths are aggregated; text per node and punctuation per node
 are fused with the spread into one ratio, lowered by the share of linked text. The ratios are smoothed with a Gaussian
 over the page's order of nodes, and nodes above a threshold from the page's own ratios select the content: the deepest
-element that holds most of the selected weight. Its blocks are the main text, whole, without parts that a tag, class, id
+element that holds all of them, or the outermost article or main element around it. Its blocks are the main text, whole, without parts that a tag, class, id
 or role marks as no part of an article.
 
 Rows: a null page is an empty one and has an empty text. Pages without any text node above the threshold give the text
@@ -31,6 +31,8 @@ _PUNCT = re.compile(r"[.,;:!?…。，、；：！？¿¡]").findall
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes noscript iframe".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Blocks that are pieces of a text and never the whole.
+PIECES = frozenset("p h1 h2 h3 h4 h5 h6 hgroup li ul ol dl dt dd blockquote pre address figure figcaption details summary table caption thead tbody tfoot tr td th".split())
 CLOSES_P = BLOCK - frozenset("body caption dd dt html li tbody td tfoot th thead tr".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tbody": {"table"}, "tfoot": {"table"}}
@@ -173,7 +175,19 @@ def smooth(x: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return np.convolve(x, kernel)[r : r + len(x)] / np.convolve(np.ones(len(x)), kernel)[r : r + len(x)]
 
 
-def extract(page: str | None, threshold: float = 0.5, share: float = 0.6) -> str:
+def common(elements: list[Element]) -> Element:
+    """The deepest element that holds all of ``elements``."""
+    held = elements[0]
+    for e in elements[1:]:
+        while held is not e:
+            if held.depth >= e.depth:
+                held = held.parent
+            else:
+                e = e.parent
+    return held
+
+
+def extract(page: str | None, threshold: float = 0.5) -> str:
     """The main text of one page."""
     if not page:
         return ""
@@ -185,21 +199,13 @@ def extract(page: str | None, threshold: float = 0.5, share: float = 0.6) -> str
     smoothed = np.maximum(smooth(ratios), ratios * 0.5) * np.array([3.0 if e.in_article else 1.0 for _, e, _, _ in nodes])
     selected = smoothed >= threshold * smoothed.mean()
     weight = np.where(selected, smoothed * np.array([len(t) for t, _, _, _ in nodes]), 0.0)
-    elements: dict[int, Element] = {}
-    for (_, e, _, _), w in zip(nodes, weight.tolist(), strict=True):
-        while e is not None and w:
-            elements[e.order] = e
-            e.weight += w
-            e = e.parent
-    total = weight.sum()
-    container = max((e for e in elements.values() if e.weight >= share * total and (e.tag in BLOCK or not e.parent)), key=lambda e: e.depth)
-    if container.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "td", "dd"):  # one long block: its neighbours belong to the text too
-        container = container.parent or container
+    container = common([e for (_, e, _, _), w in zip(nodes, weight.tolist(), strict=True) if w])
+    while container.parent is not None and (container.tag in PIECES or container.tag not in BLOCK):  # its neighbours belong to the text too
+        container = container.parent
     up = container
-    while up.parent is not None:  # an article or main element around it is the natural bound
+    while up is not None:  # the outermost article or main element around it is the natural bound
         if up.tag in ("article", "main"):
             container = up
-            break
         up = up.parent
     blocks: dict[int, list[str]] = {}
     links: dict[int, list[int]] = {}
