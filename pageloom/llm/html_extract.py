@@ -38,9 +38,10 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tbody": {"table"}, "tfoot": {"table"}}
 #: Elements whose text is no part of an article.
 DROPPED = frozenset("head script style noscript template iframe object svg math nav footer aside form button select textarea input label dialog menu canvas audio video search".split())
-#: The same by words in class, id or role.
+#: The same by words in class, id or role: names that say it as a whole, and names made with a word that says it.
 _MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|nav\w*|menu|breadcrumbs?|toolbar|pagination|pager|footer|masthead|topbar|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|subscri\w*|newsletter|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|discussion|widget|skip|copyright|complementary|contentinfo|navigation|dialog|form|hidden)(?:$|[\s_-])",
+    r"(?:^|\s)(?!(?:has|have|with|without|no|not|is|can|show|hide|toggle|overflow)[_-])(?:(?:side|notices?|alert|modal|overlay|widget|skip|dialog|form|hidden)(?=$|\s)"
+    r"|(?:[^\s]*[_-])?(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|sidebar|nav\w*|menu|breadcrumbs?|toolbar|pagination|pager|footer|masthead|topbar|cookies?|consent|gdpr|popup|subscri\w*|newsletter|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|discussion|copyright|complementary|contentinfo|navigation)(?=$|[\s_-]))",
     re.I,
 ).search
 #: Words that no other word in the attributes outweighs, at the start of a name.
@@ -49,25 +50,27 @@ _KEPT = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|body|t
 
 
 DEEPEST = 512
+WHOLE = ("html", "body", "article", "main")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "weight", "depth", "in_article", "order", "list")
+    __slots__ = ("tag", "parent", "path", "dropped", "marked", "weight", "depth", "in_article", "order", "list")
 
-    def __init__(self, tag: str, parent: "Element | None", marked: bool, order: int, paths: dict):
+    def __init__(self, tag: str, parent: "Element | None", marked: bool, hidden: bool, order: int, paths: dict):
         self.tag, self.parent, self.order = tag, parent, order
         self.path = paths.setdefault((parent.path if parent else -1, tag), len(paths))  # a number for the tags from the root
         self.list = order if tag in ("ul", "ol", "menu") else parent.list if parent else 0
         self.depth = parent.depth + 1 if parent else 0
         self.in_article = bool(parent and parent.in_article) or tag in ("article", "main")
-        self.dropped = bool(parent and parent.dropped) or tag in DROPPED or marked and tag not in ("html", "body", "article", "main") or tag == "header" and not (parent and parent.in_article)
+        self.dropped = bool(parent and parent.dropped) or tag in DROPPED or hidden and tag not in WHOLE or tag == "header" and not (parent and parent.in_article)
+        self.marked = marked and tag not in WHOLE  # a word alone; settle() says what it drops
         self.weight = 0.0
 
 
-def parse(page: str) -> Iterator[tuple[str, Element, int, bool]]:
-    """(text, element, block, linked) of each text node in page order; block numbers change at block elements."""
+def parse(page: str, made: list[Element] | None = None) -> Iterator[tuple[str, Element, int, bool]]:
+    """(text, element, block, linked) of each text node in page order; block numbers change at block elements. Elements are added to ``made``."""
     paths: dict[tuple[int, str], int] = {}
-    root = top = Element("", None, False, 0, paths)
+    root = top = Element("", None, False, False, 0, paths)
     beyond: dict[str, int] = {}
     stack, block, links, order = [root], 0, 0, 0
     raw_end = None
@@ -136,19 +139,21 @@ def parse(page: str) -> Iterator[tuple[str, Element, int, bool]]:
             continue
         if attrs.endswith("/") and name not in BLOCK:
             continue
-        marked = False
+        marked = hidden = False
         if "=" in attrs:
             said = {k.lower(): a or b or c for k, a, b, c in _ATTR(attrs)}
             words = " ".join(said.get(k, "") for k in ("class", "id", "role"))
-            marked = bool(_MARKED(words)) and not (_KEPT(words) and name not in ("form", "ul")) or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "")
-            marked = marked or bool(_FOREIGN(words))
+            marked = bool(_MARKED(words)) and not (_KEPT(words) and name not in ("form", "ul")) or bool(_FOREIGN(words))
+            hidden = said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "")
         elif attrs.strip().lower() == "hidden":
-            marked = True
+            hidden = True
         if len(stack) > DEEPEST:  # as browsers do, no deeper: the text counts for the element it is in
             beyond[name] = beyond.get(name, 0) + 1
             continue
         order += 1
-        top = Element(name, top, marked, order, paths)
+        top = Element(name, top, marked, hidden, order, paths)
+        if made is not None:
+            made.append(top)
         stack.append(top)
         links += name == "a"
 
@@ -187,19 +192,63 @@ def common(elements: list[Element]) -> Element:
     return held
 
 
+def weights(nodes: list[tuple[str, Element, int, bool]], threshold: float) -> list[float]:
+    """The weight of each node; 0 if it is not selected."""
+    ratios = path_ratios(nodes)
+    smoothed = np.maximum(smooth(ratios), ratios * 0.5) * np.array([3.0 if e.in_article else 1.0 for _, e, _, _ in nodes])
+    return np.where(smoothed >= threshold * smoothed.mean(), smoothed * np.array([len(t) for t, _, _, _ in nodes]), 0.0).tolist()
+
+
+def around(e: Element | None) -> Iterator[Element]:
+    """The element and all around it."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def settle(made: list[Element], nodes: list[tuple[str, Element, int, bool]], threshold: float) -> None:
+    """Drop what words mark, but not what holds the page's article: its main or article element or, without one, most of the selected text."""
+    if any(e.marked for e in made):
+        held: dict[int, Element] = {}
+        free = False
+        for t, e, _, _ in nodes:
+            path = [*around(e)]
+            inner = [x for x in path if x.tag in ("article", "main")]
+            free = free or bool(inner) and not any(x.marked for x in around(inner[-1]))
+            for x in inner:
+                x.weight += len(t)
+                held[x.order] = x
+        best = max(held.values(), key=lambda x: (x.tag == "main", x.weight, -x.depth)) if held and not free else None
+        if best and best.tag != "main" and 2 * best.weight < sum(len(t) for t, _, _, _ in nodes):
+            best = None  # such as a comment in an article element of its own
+        if not free and not best and nodes:
+            own = weights(nodes, threshold)
+            total: dict[Element, float] = {}
+            for (_, e, _, _), w in zip(nodes, own, strict=True):
+                for x in around(e):
+                    total[x] = total.get(x, 0.0) + w
+            most = 0.5 * sum(own)
+            for x in made:
+                x.marked = x.marked and not total.get(x, 0.0) > most
+        for x in around(best):
+            x.marked = False
+    for x in made:  # parents come first
+        x.dropped = x.dropped or x.marked or bool(x.parent and x.parent.dropped)
+
+
 def extract(page: str | None, threshold: float = 0.5) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    every = [(t, e, b, a) for t, e, b, a in parse(page)]
+    made: list[Element] = []
+    every = [*parse(page, made)]
     nodes = [(x, e, b, a) for t, e, b, a in every if not e.dropped and (x := " ".join(html.unescape(t).split()))]
+    settle(made, nodes, threshold)
+    nodes = [x for x in nodes if not x[1].dropped]
     if not nodes:
         return ""
-    ratios = path_ratios(nodes)
-    smoothed = np.maximum(smooth(ratios), ratios * 0.5) * np.array([3.0 if e.in_article else 1.0 for _, e, _, _ in nodes])
-    selected = smoothed >= threshold * smoothed.mean()
-    weight = np.where(selected, smoothed * np.array([len(t) for t, _, _, _ in nodes]), 0.0)
-    container = common([e for (_, e, _, _), w in zip(nodes, weight.tolist(), strict=True) if w])
+    weight = weights(nodes, threshold)
+    container = common([e for (_, e, _, _), w in zip(nodes, weight, strict=True) if w])
     while container.parent is not None and (container.tag in PIECES or container.tag not in BLOCK):  # its neighbours belong to the text too
         container = container.parent
     up = container

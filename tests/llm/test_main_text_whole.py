@@ -23,3 +23,18 @@ def test_all_parts_stay(around):
     longs, shorts = [para(600, f"Long{k}") for k in range(4)], [para(150, f"Short{k}") for k in range(3)]
     body = around.format(long="".join(f"<p>{x}</p>" for x in longs), short="".join(f"<p>{x}</p>" for x in shorts), items="".join(f"<li>{x}</li>" for x in longs))
     assert html_extract.extract(f"<html><body><nav>Home</nav>{body}<footer>End</footer></body></html>").split("\n") == longs + shorts
+
+
+@pytest.mark.parametrize("name", ["overflow-hidden", "wrapper has-sidebar", "sidebar-right", "hidden lg:block", "page with-nav", "modal"])
+def test_no_word_drops_the_article(name):
+    text = "\n".join(para(300, f"Part{k}") for k in range(3))
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<div>{body}</div>"):
+        for attribute in ("class", "id"):
+            page = f'<body><div class="site-nav">Home, news.</div><div {attribute}="{name}">{inner}</div><div class="sidebar"><p>Side text, short.</p></div><div id="comments"><article>A comment, short.</article></div></body>'
+            assert html_extract.extract(page) == text, (name, inner[:9])
+
+
+def test_a_layout_word_drops_no_part():
+    first, second = para(600, "First"), para(200, "Second")
+    assert html_extract.extract(f'<body><div><div><p>{first}</p></div><div class="overflow-hidden has-sidebar"><p>{second}</p></div></div></body>') == first + "\n" + second
