@@ -248,12 +248,13 @@ def extract(page: str | None, threshold: float = 0.5) -> str:
     if not nodes:
         return ""
     weight = weights(nodes, threshold)
-    container = common([e for (_, e, _, _), w in zip(nodes, weight, strict=True) if w])
+    chosen = [e for (_, e, _, _), w in zip(nodes, weight, strict=True) if w]
+    container = common(chosen or [e for _, e, _, _ in nodes])  # no node counts if all text is linked
     while container.parent is not None and (container.tag in PIECES or container.tag not in BLOCK):  # its neighbours belong to the text too
         container = container.parent
     up = container
     while up is not None:  # the outermost article or main element around it is the natural bound
-        if up.tag in ("article", "main"):
+        if up.tag in ("article", "main") or up.tag == "body" and not chosen and container.tag not in ("article", "main"):
             container = up
         up = up.parent
     blocks: dict[int, list[str]] = {}
@@ -278,7 +279,7 @@ def extract(page: str | None, threshold: float = 0.5) -> str:
             held[0] += total_chars
             held[1] += linked_chars
             held[2] += 1
-    menus = {k for k, (n, a, items) in lists.items() if items >= 3 and a >= 0.8 * n}
+    menus = {k for k, (n, a, items) in lists.items() if items >= 3 and a >= 0.8 * n} if chosen else set()
     out = [" ".join("".join(parts).split()) for b, parts in blocks.items() if links[b][2] not in menus]
     return "\n".join(x for x in out if x)
 

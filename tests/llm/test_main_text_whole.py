@@ -38,3 +38,11 @@ def test_no_word_drops_the_article(name):
 def test_a_layout_word_drops_no_part():
     first, second = para(600, "First"), para(200, "Second")
     assert html_extract.extract(f'<body><div><div><p>{first}</p></div><div class="overflow-hidden has-sidebar"><p>{second}</p></div></div></body>') == first + "\n" + second
+
+
+def test_pages_of_links_only():
+    assert html_extract.extract("<body><div><a href=x>Title</a></div></body>") == "Title"
+    lists = "".join(f"<ul><li><a href=a>One {k}</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>" for k in range(2))
+    want = "One 0\nTwo\nThree\nOne 1\nTwo\nThree"
+    for page in (f"<body>{lists}</body>", f"<body><nav><a href=n>Home</a></nav><article><div>{lists}</div></article></body>", lists):
+        assert html_extract.extract(page) == want
