@@ -166,7 +166,7 @@ def document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def md_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.concat(F.lit("| "), F.concat_ws(" | ", "l_partkey", "l_suppkey", "l_returnflag"), F.lit(" |"))
     rows = A.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg(F.sort_array(F.collect_list(row)).alias("r"))
-    md = F.array_join(F.concat(F.slice("r", 1, 1), F.array(F.lit("| --- | --- | --- |")), F.slice("r", 2, 1000)), "\n")
+    md = F.array_join(F.concat(F.slice("r", 1, 1), F.array(F.lit("| --- | --- | --- |")), F.slice("r", F.lit(2), F.size("r"))), "\n")
     return rows.select("page", fidelity.markdown_grid(md).alias("g")).select("page", F.col("g.n_rows").alias("n_rows"), F.col("g.n_cols").alias("n_cols"))
 
 
