@@ -8,3 +8,11 @@ def test_md_grid_counts_all_rows(spark, tmp_path):
     keys.write.parquet(f"{tmp_path}/lineitem.parquet")
     got = {r.page: (r.n_rows, r.n_cols) for r in registry.QUERIES["md_grid"](spark, str(tmp_path)).collect()}
     assert got[1] == (2500, 3) and got[2999] == (None, None) and len(got) == 501
+
+
+def test_files_without_content_give_an_error_row(spark):
+    from pageloom.sources import pdf
+
+    df = spark.createDataFrame([("none", None, None), ("large", b"%PDF", pdf.MAX_BYTES + 1)], "document_id string, content binary, length long")
+    assert sorted(r.document_id for r in pdf.errors(pdf.extract(df)).collect()) == ["large", "none"]
+    assert pdf.errors(pdf.extract(df.drop("length").where("content is null"))).count() == 1
