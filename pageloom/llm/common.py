@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package where it is not installed but lies on a path that they can read."""
+    """Let Python workers import this package where it is not installed but lies on a path that they can read.
+
+    Whole texts go to them in batches of 8 MB at most, unless the session sets another size than Spark's own.
+    """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, "8m")
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, ROOT) if x)
@@ -83,50 +91,157 @@ class AtomicFile:
         self.size += len(data)
 
     def commit(self) -> None:
-        from pyarrow import fs
-
+        """Give the file its name; one that an attempt before made has the same content and is replaced."""
         self.out.close()
-        if self.store.get_file_info(self.path).type != fs.FileType.NotFound:
+        try:
+            self.store.move(self.temporary, self.path)
+        except OSError:  # a store that doesn't replace
             self.store.delete_file(self.path)
-        self.store.move(self.temporary, self.path)
+            self.store.move(self.temporary, self.path)
+        self.temporary = None
 
     def abort(self) -> None:
-        self.out.close()
-        self.store.delete_file(self.temporary)
+        """Remove what was written; nothing if it was committed."""
+        if self.temporary:
+            self.out.close()
+            self.store.delete_file(self.temporary)
+            self.temporary = None
+
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is a table of files as it is read, so that every evaluation gives the same rows in the same tasks."""
+    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
 
-def range_shard(df: DataFrame, key: str, rows_per_shard: int, cells: int = 4096) -> tuple[Column, int]:
+
+#: Bits of a row number (``monotonically_increasing_id``) that count the rows of a task; the bits above number the task.
+ROW_BITS = 33
+
+
+def write_lists(entries: DataFrame, what: str) -> str:
+    """Write rows of longs, the first of them a row number, as one sorted file of 64-bit integers for each task of the
+    numbered rows; the folder's name comes back. With ``Lists`` each such task finds its own entries, so that a choice of
+    rows moves numbers and never whole rows.
+    """
+    spark = prepare(entries.sparkSession)
+    out = shared_dir(spark, what)
+    first, width = entries.columns[0], len(entries.columns)
+
+    def write(batches):
+        import numpy as np
+
+        now, held, done = None, [], 0
+
+        def close():
+            f = AtomicFile(f"{out}/{now}")
+            f.write(b"".join(held))
+            f.commit()
+
+        for b in batches:
+            table = np.stack([b.column(k).to_numpy().astype("<i8") for k in range(width)], 1)
+            block = table[:, 0] >> ROW_BITS
+            for part in np.split(table, np.flatnonzero(np.diff(block)) + 1):
+                if len(part):
+                    if (own := int(part[0, 0]) >> ROW_BITS) != now:
+                        if held:
+                            close()
+                        now, held = own, []
+                    held.append(part.tobytes())
+                    done += len(part)
+        if held:
+            close()
+        yield pa.RecordBatch.from_pydict({"n": [done]})
+
+    rows = entries.select(*(F.col(c).cast("long") for c in entries.columns)).where(F.col(first).isNotNull())
+    rows.repartition(F.shiftright(first, ROW_BITS)).sortWithinPartitions(*entries.columns).mapInArrow(write, "n long").agg(F.sum("n")).first()
+    return out
+
+
+class Lists:
+    """Reads what ``write_lists`` wrote, of one task's rows at a time."""
+
+    def __init__(self, folder: str, width: int):
+        self.folder, self.width, self.block, self.held = folder, width, None, None
+
+    def of(self, keys):
+        """The entries of these row numbers, which come from one table in its order."""
+        import numpy as np
+
+        found = []
+        for block in np.unique(keys >> ROW_BITS).tolist():
+            if block != self.block:
+                from pyarrow import fs
+
+                store, path = filesystem(f"{self.folder}/{block}")
+                data = b"" if store.get_file_info(path).type == fs.FileType.NotFound else read_file(f"{self.folder}/{block}")
+                self.block, self.held = block, np.frombuffer(data, "<i8").reshape(-1, self.width)
+            a, z = np.searchsorted(self.held[:, 0], [keys.min(), keys.max() + 1])
+            found.append(self.held[a:z])
+        return np.concatenate(found) if found else np.zeros((0, self.width), np.int64)
+
+
+def range_shard(df: DataFrame, key: str, rows_per_shard: int, size: Column | None = None, bytes_per_shard: int = 1 << 40) -> tuple[Column, int]:
     """An expression that numbers contiguous ranges of the integer column ``key`` from 0, and how many ranges there are.
 
-    The rows are counted on a grid of at most ``cells`` equal cells between the least and the largest key; neighbouring
-    cells are joined until a range has ``rows_per_shard`` rows. The ranges depend on the keys alone, not on how the
-    rows are dealt out. Null keys fall in range 0. Only the key column is read, and at most ``cells`` counts reach the driver.
+    Keys are put in order and weighed, a row by the larger of its parts of ``rows_per_shard`` and, with ``size`` in bytes, of
+    ``bytes_per_shard``; a range ends where a whole number of shards is full, so that only a single key's rows can
+    exceed it. The ranges depend on the keys and sizes alone, not on how the rows are dealt out. Null keys fall in range 0.
+
+    Only the key and the size are shuffled. The driver holds the first key of each range, 8 bytes for all the rows of a shard.
     """
-    k = F.col(key)
-    lo, hi = df.agg(F.min(k), F.max(k)).first()
-    if lo is None:
+    spark, k = prepare(df.sparkSession), F.col(f"`{key}`").cast("long")
+    weight = F.lit(bytes_per_shard) if size is None else F.greatest(F.lit(bytes_per_shard), size.cast("long") * F.lit(rows_per_shard))
+    weight, full = weight.cast("decimal(38,0)"), f"cast('{rows_per_shard * bytes_per_shard}' as decimal(38,0))"
+    keys = df.select(k.alias("key"), weight.alias("w")).where("key is not null").groupBy("key").agg(F.sum("w").cast("decimal(38,0)").alias("w"))
+    keys = cut(keys.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").withColumn("part", F.spark_partition_id()), "keys")
+    before, starts = 0, []
+    for part, w in sorted(keys.groupBy("part").agg(F.sum("w"), F.min("key").alias("least")).orderBy("least").select("part", "sum(w)").collect()):  # a row for each partition
+        starts.append((part, str(before)))
+        before += int(w)
+    if not starts:
+        return F.lit(0), 1
+    offset = F.from_json(F.lit(json.dumps({str(p): x for p, x in starts})), "map<string,string>")
+    own = W.partitionBy("part").orderBy("key").rowsBetween(W.unboundedPreceding, -1)
+    ranked = keys.withColumn("before", F.coalesce(F.sum("w").over(own), F.lit(0)) + F.element_at(offset, F.col("part").cast("string")).cast("decimal(38,0)"))
+    firsts = ranked.select("key", F.expr(f"before div {full}").alias("shard")).groupBy("shard").agg(F.min("key").alias("key")).select("key")
+    bounds = sorted(r[0] for r in firsts.collect())  # the first key of each range
+    if len(bounds) == 1:
         return F.lit(0), 1
-    width = (hi - lo) // cells + 1
-    cell = F.floor((k.cast("decimal(38,0)") - F.lit(str(lo)).cast("decimal(38,0)")) / F.lit(str(width)).cast("decimal(38,0)")).cast("int") if hi - lo >= 2**62 else F.expr(f"cast((`{key}` - {lo}L) div {width}L as int)")
-    counts = dict(df.where(k.isNotNull()).groupBy(cell.alias("cell")).count().collect())
-    shards, shard, held = [], 0, 0
-    for c in range(int((hi - lo) // width) + 1):
-        n = counts.get(c, 0)
-        if held and held + n > rows_per_shard:
-            shard, held = shard + 1, 0
-        shards.append(shard)
-        held += n
-    table = F.from_json(F.lit("[" + ",".join(map(str, shards)) + "]"), "array<int>") if len(shards) > 1 else F.array(F.lit(0))
-    return F.coalesce(F.element_at(table, cell + 1), F.lit(0)), shard + 1
-
-
-def batches_of(items: Iterable, size: int):
-    """Lists of at most ``size`` items."""
-    part: list = []
-    for x in items:
-        part.append(x)
-        if len(part) == size:
-            yield part
-            part = []
-    if part:
-        yield part
+    held = spark.sparkContext.broadcast(bounds)
+
+    def number(keys: pa.Array) -> pa.Array:
+        import numpy as np
+
+        return pa.array(np.searchsorted(held.value, keys.to_numpy(), side="right").astype("int32") - 1)
+
+    return F.arrow_udf(number, "int")(F.coalesce(k, F.lit(bounds[0]))), len(bounds)
+
+
+def leave_out(rows: DataFrame, drop: DataFrame, text_col: str = "text") -> DataFrame:
+    """``rows``, a scan of files, without those whose numbers are in ``drop`` (a column key).
+
+    The text's hash goes along, so that a row that is not the one that was numbered raises.
+    """
+    marks = rows.select(F.monotonically_increasing_id().alias("key"), F.xxhash64(F.col(f"`{text_col}`")).alias("mark"))
+    folder = write_lists(marks.join(drop.select("key"), "key", "left_semi"), "drop-lists")
+
+    def run(batches):
+        import numpy as np
+
+        lists = Lists(folder, 2)
+        for b in batches:
+            if b.num_rows:
+                keys = b["key"].to_numpy()
+                entries = lists.of(keys)
+                gone = np.isin(keys, entries[:, 0])
+                if not np.array_equal(b["mark"].to_numpy()[gone], entries[:, 1]):
+                    raise RuntimeError("the rows are not those that were numbered")
+                yield pa.RecordBatch.from_arrays([b["row"].filter(pa.array(~gone))], names=["row"])
+
+    held = rows.select(F.monotonically_increasing_id().alias("key"), F.xxhash64(F.col(f"`{text_col}`")).alias("mark"), F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"))
+    return held.mapInArrow(run, held.select("row").schema).select("row.*")
+
+
+def rows_of(batch, *columns: str, rows: int = 256):
+    """The values of these columns row by row; few rows are Python objects at a time, however many whole texts a batch has."""
+    for at in range(0, batch.num_rows, rows):
+        yield from zip(*(batch[c].slice(at, rows).to_pylist() for c in columns), strict=True)
