@@ -1,16 +1,17 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are a text's lower-cased words and the first five letters of longer words, hashed to ``buckets`` buckets. Buckets
-are kept whose presence depends on the label (chi-squared over the training rows); the machine has a weight and a vector
-for each, so that the score also holds how pairs of terms act together, such as an insult with a group's name, which no
-sum of single weights can express. It is fitted by AdaGrad on the logistic loss.
-
-Training takes at most ``max_rows`` labelled rows, the first in the order of a hash of the id; scoring takes whole texts
-of all rows. Label rows without an id or label are left out, an id with several labels is toxic if one of them is, and
-labels without a document have no effect.
-
-Rows: a null or empty text has no terms and gets the score of the machine's bias. Repeated rows get a row each. Without
-labels of both classes every text has the same score, (toxic + 0.5) / (labelled + 2), so nothing is rejected unasked. Other columns are not read.
+Terms are a text's lower-cased words and the first five letters of longer words, hashed to ``buckets`` buckets. All of
+them enter the machine, whatever each says of the label by itself: it has a weight and a vector for every bucket, so that
+the score also holds how pairs of terms act together, such as an insult with a group's name, which no sum of single
+weights can express. It is fitted by AdaGrad on the logistic loss; a bucket that no training row has counts for nothing.
+
+Training takes at most ``max_rows`` labelled ids, the first in the order of a hash of the id; scoring takes whole texts
+of all rows. Label rows without an id or label are left out, an id with several labels is toxic if one of them is, an id
+with several texts is learnt from one of them, and labels without a document have no effect.
+
+Rows: a null or empty text has no terms and gets the score of the machine's bias. Repeated rows get a row each, ties the
+same score, and an empty table none. Without labels of both classes every text has the same score,
+(toxic + 0.5) / (labelled + 2), so nothing is rejected unasked. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,20 +21,19 @@ import zlib
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare
+from .common import prepare, rows_of
 
 _WORDS = re.compile(r"[^\W_]+").findall
 STEM = 5
 
 
 class Model(NamedTuple):
-    buckets: int
-    column: dict[int, int]  #: kept bucket -> place in the weights
     bias: float
-    weight: np.ndarray
+    weight: np.ndarray  #: of each bucket
     factors: np.ndarray
 
 
@@ -44,50 +44,73 @@ def buckets_of(word: str, buckets: int) -> tuple[int, ...]:
 
 
 def scores(model: Model, rows: list[list[int]]) -> np.ndarray:
-    """Scores of rows of places; a place counts once."""
+    """Scores of rows of buckets; a bucket counts once. The sum over pairs is half of the square of the vectors' sum less their squares."""
     out = np.full(len(rows), model.bias)
     for k, row in enumerate(rows):
         if row:
-            v = model.factors[row]
+            v = model.factors[row].astype(np.float64)
             s = v.sum(0)
-            out[k] += model.weight[row].sum() + 0.5 * (s @ s - (v * v).sum())
+            out[k] += model.weight[row].sum(dtype=np.float64) + 0.5 * (s @ s - (v * v).sum())
     return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
-def fit(rows: list[list[int]], y: np.ndarray, width: int, *, factors: int = 8, epochs: int = 30, rate: float = 0.1, l2: float = 1e-4, batch: int = 128, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
-    """AdaGrad on the logistic loss of a factorization machine; both classes weigh the same. Returns bias, weights, factors."""
+def fit(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, y: np.ndarray, width: int, *, factors: int = 8, steps: int = 1500, rate: float = 0.1, doubt: float = 3.0, pair_doubt: float = 1.0, l2: float = 1e-3, batch: int = 128, seed: int = 7) -> Model:
+    """AdaGrad on the mean logistic loss of a factorization machine plus penalties.
+
+    Both classes weigh the same. Row k has ``sizes[k]`` buckets from flat[starts[k]] on. Each weight is penalised by its size
+    times ``doubt`` standard deviations of the gradient that chance alone gives its bucket, each vector by its length
+    times ``pair_doubt`` of them, and by ``l2`` / 2 times its square. A step only touches the buckets of its batch; each
+    then shrinks by what it missed.
+    """
     rng = np.random.default_rng(seed)
-    bias, w, v = 0.0, np.zeros(width + 1), rng.normal(0, 0.01, (width + 1, factors))
-    v[width] = 0  # the place that fills short rows
-    gb, gw, gv = 1e-6, np.full(width + 1, 1e-6), np.full((width + 1, factors), 1e-6)
+    count = np.bincount(flat, minlength=width)
+    used = np.flatnonzero(count)
+    n, count = len(used), count[used]
+    place = np.zeros(width, np.int32)
+    place[used] = np.arange(n, dtype=np.int32)
+    flat = place[flat]
+    bias, w, v = 0.0, np.zeros(n), rng.normal(0, 0.05, (n, factors))
+    gb, gw, gv = 1e-6, np.full(n, 1e-6), np.full(n, 1e-6)
     share = y.mean()
     weight_of = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
-    for _ in range(epochs):
-        order = rng.permutation(len(rows))
-        for at in range(0, len(rows), batch):
-            part = order[at : at + batch]
-            longest = max(1, max(len(rows[k]) for k in part))
-            x = np.full((len(part), longest), width)
-            for i, k in enumerate(part):
-                x[i, : len(rows[k])] = rows[k]
-            vx = v[x]
-            s = vx.sum(1)
-            z = bias + w[x].sum(1) + 0.5 * ((s * s).sum(1) - (vx * vx).sum((1, 2)))
-            g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[part]) * weight_of[part] / len(part)
-            flat = x.ravel()
-            dw = np.bincount(flat, np.repeat(g, longest), width + 1) + l2 * w / len(rows) * batch
-            each = (g[:, None, None] * (s[:, None, :] - vx)).reshape(-1, v.shape[1])
-            dv = np.stack([np.bincount(flat, each[:, f], width + 1) for f in range(v.shape[1])], 1) + l2 * v / len(rows) * batch
-            dw[width], dv[width] = 0, 0
-            gb, gw, gv = gb + g.sum() ** 2, gw + dw * dw, gv + dv * dv
-            bias -= rate * g.sum() / gb**0.5
-            w -= rate * dw / np.sqrt(gw)
-            v -= rate * dv / np.sqrt(gv)
-    return bias, w[:width], v[:width]
-
-
-def train(docs: DataFrame, labels: DataFrame, *, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, buckets: int = 1 << 18, max_terms: int = 4096, least_chi2: float = 24.0, **fitting) -> Model:
-    """Fit on at most ``max_rows`` labelled rows, of those that ``usable`` (an expression of doc_id) allows."""
+    touched = -np.expm1(min(batch, len(y)) * np.log1p(-np.minimum(count / len(y), 1 - 1e-9)))  # the chance that a batch has the bucket
+    shrink = np.sqrt((weight_of**2).mean() * count) / (2 * len(y)) / touched
+    decay = (l2 / touched)[:, None]
+    order = np.zeros(0, int)
+    for _ in range(steps):
+        if len(order) < min(batch, len(y)):
+            order = rng.permutation(len(y))
+        part, order = order[:batch], order[batch:]
+        own = sizes[part]
+        row = np.repeat(np.arange(len(part)), own)
+        at = flat[np.arange(own.sum()) + np.repeat(starts[part] - np.cumsum(own) + own, own)]
+        vx = v[at]
+        s = np.stack([np.bincount(row, vx[:, f], len(part)) for f in range(factors)], 1)
+        z = bias + np.bincount(row, w[at], len(part)) + 0.5 * ((s * s).sum(1) - np.bincount(row, (vx * vx).sum(1), len(part)))
+        g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[part]) * weight_of[part] / len(part)
+        seen, to = np.unique(at, return_inverse=True)
+        each = g[row]
+        dw = np.bincount(to, each, len(seen))
+        each = each[:, None] * (s[row] - vx)
+        dv = np.stack([np.bincount(to, each[:, f], len(seen)) for f in range(factors)], 1) + decay[seen] * v[seen]
+        gb += g.sum() ** 2
+        gw[seen] += dw * dw
+        gv[seen] += (dv * dv).mean(1)
+        bias -= rate * g.sum() / gb**0.5
+        step = rate / np.sqrt(gw[seen])
+        new = w[seen] - step * dw
+        w[seen] = np.sign(new) * np.maximum(0, np.abs(new) - step * doubt * shrink[seen])
+        step = rate / np.sqrt(gv[seen])
+        new = v[seen] - step[:, None] * dv
+        length = np.maximum(np.sqrt((new * new).sum(1)), 1e-30)
+        v[seen] = new * np.maximum(0, 1 - step * pair_doubt * shrink[seen] * np.sqrt((s * s).sum(1).mean()) / length)[:, None]
+    weight, vectors = np.zeros(width, np.float32), np.zeros((width, factors), np.float32)
+    weight[used], vectors[used] = w, v
+    return Model(float(bias), weight, vectors)
+
+
+def train(docs: DataFrame, labels: DataFrame, *, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, buckets: int = 1 << 18, **fitting) -> Model:
+    """Fit on at most ``max_rows`` labelled ids, of those that ``usable`` (an expression of doc_id) allows."""
     spark = prepare(docs.sparkSession)
     own = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null")
     if usable is not None:
@@ -99,56 +122,53 @@ def train(docs: DataFrame, labels: DataFrame, *, usable: Column | None = None, i
         import pyarrow as pa
 
         for b in batches:
-            rows = [sorted({x for w in {*_WORDS(t.lower())} for x in buckets_of(w, buckets)}) for t in b["text"].to_pylist()]
+            rows = [sorted({x for w in {*_WORDS(t.lower())} for x in buckets_of(w, buckets)}) for (t,) in rows_of(b, "text")]
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["y"], pa.array(rows, pa.list_(pa.int32()))], names=["doc_id", "y", "terms"])
 
-    found = cut(texts.join(F.broadcast(own), "doc_id").select("doc_id", "y", "text").mapInArrow(terms, "doc_id long, y int, terms array<int>"), "terms")  # max_rows ids are broadcast
-    n, toxic = found.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not 0 < toxic < n:
-        share = (toxic + 0.5) / (n + 2)
-        return Model(buckets, {}, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, 1)))
-    held = found.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").cast("double").alias("n1"), F.sum("y").cast("double").alias("a"))
-    # a: toxic with the term, b: other with it, c: toxic without, d: other without
-    chi2 = F.expr(f"{n}D * power(a * ({n - toxic}D - (n1 - a)) - (n1 - a) * ({toxic}D - a), 2) / (n1 * ({n}D - n1) * {toxic}D * {n - toxic}D)")
-    kept = [r["term"] for r in held.where(F.col("n1") < n).withColumn("chi2", chi2).where(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()]
-    chosen = F.array_intersect("terms", F.from_json(F.lit(str(kept)), "array<int>"))
-    rows = found.select("doc_id", "y", chosen.alias("terms")).orderBy("doc_id", "terms").collect()  # at most max_rows documents' kept terms
-    column = {t: k for k, t in enumerate(kept)}
-    bias, w, v = fit([[column[t] for t in r["terms"]] for r in rows], np.array([r["y"] for r in rows], float), len(kept), **fitting)
-    return Model(buckets, column, bias, w, v)
+    found = texts.join(F.broadcast(own), "doc_id").select("doc_id", "y", "text").mapInArrow(terms, "doc_id long, y int, terms array<int>")  # max_rows ids are broadcast
+    rows = found.groupBy("doc_id").agg(F.max("y").alias("y"), F.min("terms").alias("terms")).toArrow()  # a row for each of at most max_rows ids
+    order = np.argsort(rows["doc_id"].to_numpy())
+    y = rows["y"].to_numpy()[order].astype(float)
+    if not 0 < y.sum() < len(y):
+        share = (y.sum() + 0.5) / (len(y) + 2)
+        return Model(float(np.log(share / (1 - share))), np.zeros(buckets, np.float32), np.zeros((buckets, 1), np.float32))
+    sizes = pc.list_value_length(rows["terms"]).to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    flat = np.concatenate([x.flatten().to_numpy() for x in rows["terms"].chunks])
+    del rows
+    return fit(flat, starts[order], sizes[order], y, buckets, **fitting)
 
 
 class Scorer:
-    """Scores of texts; remembers the places of lately seen words."""
+    """Scores of texts; remembers the buckets of lately seen words."""
 
-    def __init__(self, model: Model, remembered: int = 500_000):
+    def __init__(self, model: Model, remembered: int = 65_536):
         self.model, self.remembered, self.places = model, remembered, {}
 
     def row(self, text: str) -> list[int]:
-        column, places, found = self.model.column, self.places, set()
+        places, buckets, found = self.places, len(self.model.weight), set()
         if len(places) > self.remembered:
             places.clear()
         for word in {*_WORDS(text.lower())}:
             if (at := places.get(word)) is None:
-                at = places[word] = tuple(column[b] for b in buckets_of(word, self.model.buckets) if b in column)
-            if at:
-                found.update(at)
+                at = places[word] = buckets_of(word, buckets)
+            found.update(at)
         return sorted(found)
 
-    def __call__(self, texts: list[str | None]) -> np.ndarray:
-        return scores(self.model, [self.row(t) if t else [] for t in texts])
+    def __call__(self, texts) -> np.ndarray:
+        return np.array([scores(self.model, [self.row(t) if t else []])[0] for t in texts])
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score, 0 to 1, of every row."""
-    held = prepare(docs.sparkSession).sparkContext.broadcast(model)  # at most max_terms weights and vectors
+    held = prepare(docs.sparkSession).sparkContext.broadcast(model)  # a weight and a vector for each bucket
 
     def run(batches):
         import pyarrow as pa
 
         scorer = Scorer(held.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(scorer(b["text"].to_pylist()))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(scorer(t for (t,) in rows_of(b, "text")))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
 
@@ -163,6 +183,9 @@ def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", leas
 
         scorer = Scorer(held.value)
         for b in batches:
-            yield b.filter(pa.array(scorer(b.column(at).to_pylist()) < least))
+            if b.num_rows:
+                texts = pa.RecordBatch.from_arrays([b["row"].field(at)], names=["text"])
+                yield pa.RecordBatch.from_arrays([b["row"].filter(pa.array(scorer(t for (t,) in rows_of(texts, "text")) < least))], names=["row"])
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.mapInArrow(run, rows.schema).select("row.*")
