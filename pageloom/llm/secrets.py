@@ -5,9 +5,10 @@ of random strings and of ordinary identifiers, trained by counting character pai
 ``least_chars`` or more characters is reported if its log-likelihood ratio per transition is at least ``least_ratio``.
 
 Spark's regular expressions give matches but no places. The text between the matches is what ``split`` returns, so the
-places are running sums of the lengths of both, taken in blocks of 256 so that the work grows in proportion.
+places are running sums of the lengths of both. Sums, overlaps and masks are folded in blocks of 256 in order of place,
+so that the work grows in proportion to a text's matches.
 
-Rows: a null text is an empty one and has no spans. Repeated rows get a row each. Without samples of both classes no
+Rows: a null text is an empty one and has no spans; texts of any length are scanned whole. Repeated rows get a row each. Without samples of both classes no
 token is reported as random. Columns of ``docs`` are kept and come back unchanged; results are in one struct column,
 whose name the caller picks.
 """
@@ -38,14 +39,15 @@ PARTS = (
 
 
 def samples(spark: SparkSession, n: int = 20_000) -> DataFrame:
-    """Labelled samples (text, random) made by rule: digests in hexadecimal, base 64 and capitals, and joined identifier parts."""
+    """Labelled samples (text, random) made by rule: digests in hexadecimal, base 64 and capitals, and joined identifier parts or runs of one character."""
     words = F.from_json(F.lit(json.dumps(PARTS)), "array<string>")
     pick = lambda k: F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(PARTS))) + 1).cast("int"))
     digest = F.sha2(F.concat(F.lit("sample "), F.col("id").cast("string")), 256)
     random = F.element_at(F.array(F.substring(digest, 1, 40), F.regexp_replace(F.base64(F.unhex(digest)), "=", ""), F.translate(F.upper(F.substring(F.base64(F.unhex(digest)), 1, 32)), "+/=", "23"), F.translate(F.base64(F.unhex(digest)), "+/=", "-_")), (F.col("id") % 4 + 1).cast("int"))
     camel = F.concat(pick(1), F.initcap(pick(2)), F.initcap(pick(3)), F.initcap(pick(4)))
     digits = (F.pmod(F.xxhash64("id", F.lit(9)), F.lit(2100))).cast("string")
-    plain = F.element_at(F.array(F.concat_ws("_", pick(1), pick(2), pick(3), pick(4)), camel, F.concat_ws("-", pick(1), pick(2), digits, pick(3)), F.concat_ws("/", pick(1), pick(2), pick(3), digits), F.concat(pick(1), pick(2), pick(3), pick(4), pick(5)), F.upper(F.concat_ws("_", pick(1), pick(2), pick(3)))), (F.col("id") % 6 + 1).cast("int"))
+    run = F.repeat(F.substring(F.lit("ABCXabcx019-_=+/"), F.pmod(F.xxhash64("id", F.lit(11)), F.lit(16)).cast("int") + 1, F.lit(1)), 24)
+    plain = F.element_at(F.array(F.concat_ws("_", pick(1), pick(2), pick(3), pick(4)), camel, F.concat_ws("-", pick(1), pick(2), digits, pick(3)), F.concat_ws("/", pick(1), pick(2), pick(3), digits), F.concat(pick(1), pick(2), pick(3), pick(4), pick(5)), F.upper(F.concat_ws("_", pick(1), pick(2), pick(3))), run), (F.col("id") % 7 + 1).cast("int"))
     ids = spark.range(n)
     return ids.select(random.alias("text"), F.lit(True).alias("random")).unionByName(ids.select(plain.alias("text"), F.lit(False).alias("random")))
 
@@ -74,28 +76,57 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _places(text: Column, pattern: str, block: int = 256) -> Column:
+BLOCK = 256  #: items of an array that are folded together
+
+
+def _blocks(items: Column) -> Column:
+    """The items in arrays of at most BLOCK."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _running(items: Column, zero: int, of, combine, put, kind: str) -> Column:
+    """put(state, item), an array of ``kind``, of all items in order, joined; the state combines of(item) of the items before.
+
+    ``combine`` is associative and ``zero`` its neutral element. Blocks are combined first, so that the work grows in proportion.
+    """
+    none = F.from_json(F.lit("[]"), f"array<{kind}>")
+
+    def firsts(blocks: Column) -> Column:
+        each = F.transform(blocks, lambda b: F.aggregate(b, F.lit(zero), lambda n, x: combine(n, of(x))))
+        return F.aggregate(each, F.array(F.lit(zero)), lambda out, n: F.concat(out, F.array(combine(F.element_at(out, -1), n))))
+
+    def step(held: Column, x: Column) -> Column:
+        return F.struct(combine(held["at"], of(x)).alias("at"), F.concat(held["out"], put(held["at"], x)).alias("out"))
+
+    def joined(blocks: Column) -> Column:
+        return let(firsts(blocks), lambda first: F.flatten(F.transform(blocks, lambda b, k: F.aggregate(b, F.struct(F.element_at(first, k + 1).alias("at"), none.alias("out")), step)["out"])))
+
+    return let(items, lambda held: let(_blocks(held), joined))
+
+
+def _places(text: Column, pattern: str) -> Column:
     """array<struct<start, end>> of all matches, in order, in code points, end exclusive."""
-    none = F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")
 
     def steps(matches: Column) -> Column:
         return F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("own")))
 
-    def blocks(steps: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int")), lambda k: F.slice(steps, k * block + 1, F.lit(block)))
+    def put(at: Column, s: Column) -> Column:
+        return F.array(F.struct((at + s["gap"]).alias("start"), (at + s["gap"] + s["own"]).alias("end")))
 
-    def firsts(blocks: Column) -> Column:
-        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, s: n + s["gap"] + s["own"]))
-        return F.aggregate(sums, F.array(F.lit(0)), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: _running(steps(m), 0, lambda s: s["gap"] + s["own"], lambda a, b: a + b, put, "struct<start:int,end:int>"))
 
-    def step(held: Column, s: Column) -> Column:
-        start = held["at"] + s["gap"]
-        return F.struct((start + s["own"]).alias("at"), F.concat(held["out"], F.array(F.struct(start.alias("start"), (start + s["own"]).alias("end")))).alias("out"))
 
-    def places(blocks: Column) -> Column:
-        return let(firsts(blocks), lambda first: F.flatten(F.transform(blocks, lambda b, k: F.aggregate(b, F.struct(F.element_at(first, k + 1).alias("at"), none.alias("out")), step)["out"])))
+def _apart(base: Column, random: Column) -> Column:
+    """The random spans that overlap no base span: none that starts before a span's end ends after its start."""
+    starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("own"), b["start"].alias("start"), b["end"].alias("end")))
+    asked = F.transform(random, lambda r: F.struct(r["end"].alias("at"), F.lit(0).alias("own"), r["start"].alias("start"), r["end"].alias("end")))
+    kind = "struct<start:int,rank:int,end:int>"
+    none = F.from_json(F.lit("[]"), f"array<{kind}>")
+
+    def put(last: Column, x: Column) -> Column:
+        return F.when((x["own"] == 0) & (last <= x["start"]), F.array(F.struct(x["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"), x["end"].alias("end")))).otherwise(none)
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: let(steps(m), lambda s: let(blocks(s), places)))
+    return _running(F.array_sort(F.concat(starts, asked)), 0, lambda x: F.when(x["own"] == 1, x["end"]).otherwise(0), F.greatest, put, kind)
 
 
 def _spans(kind: str, places: Column) -> Column:
@@ -126,7 +157,7 @@ def scan(docs: DataFrame, ratios: list[float], *, text_col: str = "text", out_co
     pattern = TOKEN % least_chars
     tokens = F.zip_with(_places(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p, m: F.struct(p["start"].alias("start"), p["end"].alias("end"), ratio(m).alias("ratio")))
     random = guarded(text.rlike(pattern), _spans("random", F.filter(tokens, lambda x: x["ratio"] >= least_ratio)))
-    apart = F.when(F.size("_base") == 0, F.col("_random")).otherwise(F.filter("_random", lambda r: ~F.exists("_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))))
+    apart = F.when(F.size("_base") == 0, F.col("_random")).otherwise(_apart(F.col("_base"), F.col("_random")))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     held = docs.select(row.alias("_row"), base.alias("_base"), random.alias("_random"))
     held = held.select("_row", "_base", F.when(F.size("_random") == 0, F.col("_base")).otherwise(F.array_sort(F.concat("_base", apart))).alias("_spans"))
@@ -154,18 +185,20 @@ def redact(docs: DataFrame, ratios: list[float], *, text_col: str = "text", mask
     found = scan(docs, ratios, text_col=text_col, out_col="_found", **options)
     text = F.col(text_col)
 
-    def merge(out, s):
-        last = F.try_element_at(out, F.lit(-1))
-        longer = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
-        return F.when((F.size(out) > 0) & (last["end"] >= s["start"]), longer).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+    def gap(last: Column, x: Column) -> Column:
+        """What lies between a span that touches none before it and the end of those."""
+        return F.when(x["start"] > last, F.array(F.struct(F.greatest(last, F.lit(0)).alias("start"), x["start"].alias("end")))).otherwise(F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>"))
 
-    def masked(merged: Column) -> Column:
-        edges = F.flatten(F.array(F.array(F.lit(0)), F.transform(merged, lambda s: s["end"])))
-        starts = F.flatten(F.array(F.transform(merged, lambda s: s["start"]), F.array(F.length(text))))
-        return F.array_join(F.zip_with(edges, starts, lambda a, z: text.substr(a + 1, z - a)), mask)
+    def cut_out(block: Column) -> Column:
+        """The block's gaps of the text, found from the first one on and not from the text's start."""
+        first = block[0]["start"]
+        part = text.substr(first + 1, F.element_at(block, -1)["end"] - first)
+        return let(part, lambda own: F.transform(block, lambda g: F.substring(own, g["start"] - first + 1, g["end"] - g["start"])))
 
     def replaced(spans: Column) -> Column:
-        merged = F.aggregate(spans, F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>"), merge)
-        return F.when(F.size(spans) > 0, let(merged, masked)).otherwise(text)
+        last = F.struct(F.array_max(F.transform(spans, lambda s: s["end"])).alias("start"), F.length(text).alias("end"))
+        gaps = F.concat(_running(spans, -1, lambda x: x["end"], F.greatest, gap, "struct<start:int,end:int>"), F.array(last))
+        pieces = let(gaps, lambda held: F.flatten(F.transform(_blocks(held), cut_out)))
+        return F.when(F.size(spans) > 0, F.array_join(pieces, mask)).otherwise(text)
 
     return found.select(*(let(F.col("_found")["spans"], replaced).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
