@@ -21,11 +21,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, rows_of
 
 # Element ids of EBML and Matroska.
 EBML, SEGMENT, INFO, TIMESTAMP_SCALE, DURATION, MUXING_APP, WRITING_APP = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x2AD7B1, 0x4489, 0x4D80, 0x5741
-TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, FLAG_LACING, CODEC_ID = 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x9C, 0x86
+TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, FLAG_LACING, DEFAULT_DURATION, CODEC_ID = 0x1654AE6B, 0xAE, 0xD7, 0x73C5, 0x83, 0x9C, 0x23E383, 0x86
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, REFERENCE_BLOCK, BLOCK_DURATION = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1, 0xFB, 0x9B
 CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
@@ -37,7 +37,7 @@ NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
 
 class Packet(NamedTuple):
     track: int
-    timestamp: int  #: of the block, in units of the timestamp scale
+    timestamp: int  #: in units of the timestamp scale
     key: bool
     lace: int  #: place in its block
     start: int  #: byte range in the file
@@ -73,11 +73,14 @@ def number(kind: int, value: int) -> bytes:
     return element(kind, value.to_bytes(max(1, (value.bit_length() + 7) // 8), "big"))
 
 
-def elements(data: bytes, at: int = 0, end: int | None = None, depth: int = 0) -> Iterator[tuple[int, int, int, int, int]]:
-    """(id, start, body start, end, depth) of every element, masters before what they hold."""
-    end = len(data) if end is None else end
-    while at < end:
-        start = at
+def elements(data: bytes, at: int = 0, end: int | None = None) -> Iterator[tuple[int, int, int, int, int]]:
+    """(id, start, body start, end, depth) of every element, masters before what they hold, however deep they lie."""
+    ends = [len(data) if end is None else end]
+    while ends:
+        if at >= ends[-1]:
+            ends.pop()
+            continue
+        start, end = at, ends[-1]
         kind, _, at = read_vint(data, at, True)
         size, _, at = read_vint(data, at)
         stop = end if size < 0 else at + size
@@ -91,10 +94,11 @@ def elements(data: bytes, at: int = 0, end: int | None = None, depth: int = 0) -
                 if n < 0 or body + n > end:
                     raise ValueError(f"unknown or wrong size within the cluster at byte {start}")
                 stop = body + n
-        yield kind, start, at, stop, depth
+        yield kind, start, at, stop, len(ends) - 1
         if kind in MASTERS:
-            yield from elements(data, at, stop, depth + 1)
-        at = stop
+            ends.append(stop)
+        else:
+            at = stop
 
 
 def laces(data: bytes, at: int, end: int, lacing: int) -> list[tuple[int, int]]:
@@ -131,34 +135,59 @@ def laces(data: bytes, at: int, end: int, lacing: int) -> list[tuple[int, int]]:
 
 
 def packets(data: bytes) -> Iterator[Packet]:
-    """The packet table of one file, in file order."""
+    """The packet table of one file, in file order.
+
+    The packets of a lace follow each other by their track's default duration or by equal parts of their block's duration;
+    without either they have the block's timestamp.
+    """
     if data[:4] != EBML.to_bytes(4, "big"):
         raise ValueError("no EBML header")
-    cluster = base = 0
+    cluster = base = entry = pending = 0
+    scale, lasting = 1_000_000, {}  # nanoseconds: a unit of time, and each track's default duration
     group: list[Packet] = []
-    group_end = 0
+    group_end = spread = 0
+    number_of = lambda a, z: int.from_bytes(data[a:z], "big")
+
+    def finished():
+        for p in group:
+            yield p._replace(timestamp=p.timestamp + p.lace * spread // len(group)) if spread and p.track not in lasting else p
+
     for kind, start, body, stop, _ in elements(data):
         if group and start >= group_end:
-            yield from group
+            yield from finished()
             group = []
         if kind == CLUSTER:
             cluster = start
+        elif kind == TIMESTAMP_SCALE:
+            scale = number_of(body, stop) or scale
+        elif kind == TRACK_ENTRY:
+            entry = pending = 0
+        elif kind == TRACK_NUMBER:
+            entry = number_of(body, stop)
+            if pending:
+                lasting[entry] = pending
+        elif kind == DEFAULT_DURATION:
+            pending = number_of(body, stop)
+            if entry:
+                lasting[entry] = pending
         elif kind == TIMESTAMP:
-            base = int.from_bytes(data[body:stop], "big")
+            base = number_of(body, stop)
         elif kind == BLOCK_GROUP:
-            group_end = stop
+            group_end, spread = stop, 0
+        elif kind == BLOCK_DURATION:
+            spread = number_of(body, stop)
         elif kind == REFERENCE_BLOCK:
             group = [p._replace(key=False) for p in group]
         elif kind in (SIMPLE_BLOCK, BLOCK):
             track, _, at = read_vint(data, body)
             relative, flags = struct.unpack_from(">hB", data, at)
             key = bool(flags & 0x80) if kind == SIMPLE_BLOCK else True
-            found = [Packet(track, base + relative, key, k, a, z, cluster) for k, (a, z) in enumerate(laces(data, at + 3, stop, flags >> 1 & 3))]
+            found = [Packet(track, base + relative + k * lasting.get(track, 0) // scale, key, k, a, z, cluster) for k, (a, z) in enumerate(laces(data, at + 3, stop, flags >> 1 & 3))]
             if kind == BLOCK:
                 group += found
             else:
                 yield from found
-    yield from group
+    yield from finished()
 
 
 def cues(data: bytes) -> list[tuple[int, int, int]]:
@@ -202,7 +231,7 @@ def mux(samples: bytes, rate: int = 8000, frame: int = 1024, frames_per_block: i
     header = element(EBML, number(EBML_VERSION, 1) + number(EBML_READ_VERSION, 1) + number(EBML_MAX_ID, 4) + number(EBML_MAX_SIZE, 8) + element(DOC_TYPE, b"matroska") + number(DOC_TYPE_VERSION, 4) + number(DOC_TYPE_READ_VERSION, 2))
     info = element(INFO, number(TIMESTAMP_SCALE, 1_000_000) + element(DURATION, struct.pack(">d", len(samples) * 1000 / rate)) + element(MUXING_APP, b"pageloom") + element(WRITING_APP, b"pageloom"))
     audio = element(AUDIO, element(SAMPLING_FREQUENCY, struct.pack(">d", float(rate))) + number(CHANNELS, 1) + number(BIT_DEPTH, 8))
-    tracks = element(TRACKS, element(TRACK_ENTRY, number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + number(FLAG_LACING, 1) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio))
+    tracks = element(TRACKS, element(TRACK_ENTRY, number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + number(FLAG_LACING, 1) + number(DEFAULT_DURATION, frame * 1_000_000_000 // rate) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio))
     body, points = [info, tracks], []
     at, per = len(info) + len(tracks), frames_per_block * blocks_per_cluster
     for first in range(0, len(parts), per):
@@ -228,7 +257,7 @@ def packet_table(media: DataFrame, *, id_col: str = "id", media_col: str = "medi
         schema = pa.schema([("id", pa.string()), ("track", pa.int64()), ("timestamp", pa.int64()), ("key", pa.bool_()), *((n, pa.int64()) for n in ("lace", "start", "end", "cluster")), ("error", pa.string())])
         for b in batches:
             rows = []
-            for i, data in zip(b["id"].to_pylist(), b["media"].to_pylist(), strict=True):
+            for i, data in rows_of(b, "id", "media", rows=16):
                 try:
                     rows += [(i, *p, None) for p in packets(data or b"")]
                 except (ValueError, IndexError, struct.error) as e:
@@ -258,7 +287,7 @@ def text_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
         for b in batches:
             rows = []
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+            for doc, text in rows_of(b, "doc_id", "text"):
                 raw = text.encode()
                 media = mux(raw + bytes(-len(raw) % pad or (0 if raw else pad)))
                 table = list(packets(media))
