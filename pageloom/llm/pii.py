@@ -5,10 +5,12 @@ phone numbers without a country code, social security numbers, bank account numb
 names of persons. On every candidate, base spans included, four labelers vote yes, no or nothing: the format (check
 digits and value ranges), a gazetteer (mail hosts, countries, issuers, given names), the words before it, and how it is
 set off from its surroundings. The votes of all documents are counted by pattern; expectation-maximisation on these
-counts estimates how reliable each labeler is and how likely a candidate of each pattern is real; a logistic classifier
-over the votes, the kind and the length is trained on these likelihoods and decides on the spans beyond the base ones.
+counts estimates how reliable each labeler is and how likely a candidate of each pattern is real. A logistic classifier
+is trained on these likelihoods and decides on the spans beyond the base ones; besides the votes, the kind and the length
+it sees the shape of the span's characters and the words around it, from which it learns what no labeler knows.
 
-Only counts of vote patterns reach the driver; their number depends on the kinds and labelers alone.
+Counts of vote patterns reach the driver, whose number depends on the kinds and labelers alone, and at most ``max_spans``
+candidates to fit the classifier on, the first by a hash of their text and place.
 
 Rows: a null text is an empty one and has no spans. Repeated rows get a row each and are counted as often. Without any
 candidates the classifier accepts none. Other columns are not read.
@@ -17,13 +19,15 @@ candidates the classifier accepts none. Other columns are not read.
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left, insort
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import cut, prepare, rows_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "local_phone", "ssn", "iban", "spelled_email", "person")
@@ -47,7 +51,14 @@ _TITLES = ("Mr", "Ms", "Dr", "Prof", "ame: ", "ontact: ")
 # Gazetteers and context words, fixed values.
 MAIL_ENDS = frozenset("com org net edu gov io de fr es uk eu info biz us ca".split())
 COUNTRIES = frozenset("AT BE CH CZ DE DK ES FI FR GB GR HU IE IT LU NL NO PL PT SE".split())
-GIVEN_NAMES = frozenset("Anna Carlos Claire David Elena Emma Hans James Jean John Juan Julia Karl Laura Linda Maria Marie Mark Mary Michael Paul Peter Robert Sarah Sophie Susan Thomas William".split())
+GIVEN_NAMES = frozenset(
+    "Adam Alan Alice Amy Ana Andrea Andrew Angela Anna Anne Anthony Antoine Antonio Barbara Ben Brian Camille Carlos Carmen Carol Charles Charlotte Christian"
+    " Claire Claudia Daniel David Diana Diego Donna Edward Elena Elizabeth Emily Emma Eric Erika Eva Felix Fernando Francisco Frank Friedrich George Hannah Hans"
+    " Heinrich Helen Henry Ingrid Isabel Jack Jacques James Jan Jane Javier Jean Jennifer Jessica John Jorge Joseph Juan Julia Julie Karen Karl Kevin Klaus Laura"
+    " Lena Leon Linda Lisa Louis Lucas Luis Luisa Lukas Manuel Marco Margaret Maria Marie Mark Marta Martin Mary Matthew Max Michael Michel Miguel Monika Nancy"
+    " Nicolas Nina Olivier Otto Pablo Patricia Paul Pedro Peter Philippe Pierre Rachel Richard Robert Rosa Sabine Samuel Sandra Sara Sarah Simon Sofia Sophie"
+    " Stefan Steven Susan Susanne Teresa Thomas Ursula Victor Walter William Wolfgang".split()
+)
 FOR_IT = re.compile(r"phone|tel\b|call|mobile|fax|mail|contact|reach|write|card|visa|credit|iban|account|ssn|social security|\bip\b|address|name|signed", re.I).search
 AGAINST_IT = re.compile(r"version|isbn|issn|order|invoice|figure|chapter|section|page|serial|build|release", re.I).search
 
@@ -100,10 +111,13 @@ def more_candidates(text: str) -> list[tuple[int, int, str]]:
 
 def apart(base: list[tuple[int, int, str]], more: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Of more, in order, those that overlap no base span and none taken before."""
-    taken, out = sorted((a, z) for a, z, _ in base), []
+    held = sorted((a, z) for a, z, _ in base)
+    starts, last = [a for a, _ in held], [*accumulate((z for _, z in held), max)]
+    taken, out = [], []
     for start, end, kind in more:
-        at = bisect_left(taken, (start, end))
-        if not (at < len(taken) and taken[at][0] < end or any(z > start for _, z in taken[max(0, at - 4) : at])):
+        at = bisect_left(starts, end)
+        own = bisect_left(taken, (end, 0))
+        if not (at and last[at - 1] > start) and not (own and taken[own - 1][1] > start):
             insort(taken, (start, end))
             out.append((start, end, kind))
     return out
@@ -145,96 +159,119 @@ def pattern(text: str, start: int, end: int, kind: str) -> str:
 
 
 def expectation_maximisation(counts: dict[str, int], rounds: int = 50) -> tuple[dict[str, float], dict[str, np.ndarray]]:
-    """Posterior of each pattern, and per labeler the chances of no vote, no and yes for false and true candidates. The start trusts the labelers."""
+    """Likelihood of each pattern, and per labeler and kind the chances of no vote, no and yes for false and true candidates. The start trusts the labelers."""
     names = list(counts)
     n = np.array([counts[p] for p in names], float)
     kind = np.array([KINDS.index(p.split(",")[0]) for p in names], int)
     vote = np.array([[int(v) + 1 for v in p.split(",")[1:5]] for p in names], int).reshape(-1, 4)
-    prior = np.full(len(KINDS), 0.5)
-    trust = np.tile(np.array([[1, 2, 0.7], [1, 0.7, 2]]) / 3.7, (4, 1, 1))
-    start = trust.copy()
+    prior = np.full(len(KINDS), 0.6)  # what no labeler speaks against is rather real
+    trusted = np.tile(np.array([[1, 2, 0.7], [1, 0.7, 2]]), (4, 1, 1))
+    trusted[2] = np.array([[1, 3, 0.3], [1, 0.3, 3]])  # words that speak against a candidate outweigh a form that many numbers have
+    usual = np.stack([(np.bincount(kind * 3 + vote[:, k], n, 3 * len(KINDS)).reshape(-1, 3) + 1) for k in range(4)])
+    said = usual[:, :, None, 1:] * trusted[:, None, :, 1:]  # a labeler that says the same of all of a kind tells nothing
+    said *= (usual[:, :, None, 1:].sum(-1) / said.sum(-1))[..., None]
+    first = np.concatenate([np.broadcast_to(usual[:, :, None, :1], (*said.shape[:3], 1)), said], -1) / usual.sum(-1)[:, :, None, None]
+    trust = first.copy()
     post = np.full(len(names), 0.5)
     for _ in range(rounds):
         p1, p0 = np.log(prior[kind]), np.log(1 - prior[kind])
         for k in range(4):
-            p0, p1 = p0 + np.log(trust[k, 0][vote[:, k]]), p1 + np.log(trust[k, 1][vote[:, k]])
+            p0, p1 = p0 + np.log(trust[k, kind, 0, vote[:, k]]), p1 + np.log(trust[k, kind, 1, vote[:, k]])
         post = 1 / (1 + np.exp(np.clip(p0 - p1, -60, 60)))
         yes, no = n * post, n * (1 - post)
         prior = (np.bincount(kind, yes, len(KINDS)) + 2) / (np.bincount(kind, n, len(KINDS)) + 4)
         for k in range(4):
             for c, w in enumerate((no, yes)):
-                seen = np.bincount(vote[:, k], w, 3) + 20 * start[k, c]  # as 20 candidates at the start
-                trust[k, c] = seen / seen.sum()
+                seen = np.bincount(kind * 3 + vote[:, k], w, 3 * len(KINDS)).reshape(-1, 3) + 20 * first[k, :, c]  # as 20 candidates at the start
+                trust[k, :, c] = seen / seen.sum(1, keepdims=True)
     return dict(zip(names, post.tolist(), strict=True)), dict(zip(("format", "gazetteer", "context", "setting"), trust, strict=True))
 
 
-def _features(p: str) -> list[int]:
-    kind, *rest = p.split(",")
-    return [KINDS.index(kind), *(9 + 3 * k + int(v) + 1 for k, v in enumerate(rest[:4])), 21 + int(rest[4])]
+_RUNS = re.compile(r"(.)\1{4,}", re.S).sub
+_WORD = re.compile(r"[^\W_]+").findall
+HASHED = 2048  #: places of shapes and words
+WEIGHTS = 25 + HASHED + 1  #: kinds, votes and lengths, then those, and the bias
 
 
-def train_classifier(counts: dict[str, int], posterior: dict[str, float], rounds: int = 300) -> np.ndarray:
-    """Weights (bias last) of a logistic regression on the posteriors, each pattern weighed by the root of its count."""
-    names = list(counts)
-    x = np.zeros((len(names), 26))
-    for k, p in enumerate(names):
-        x[k, _features(p)] = 1
-    x[:, 25] = 1
-    y, n = np.array([posterior[p] for p in names]), np.sqrt([counts[p] for p in names])
-    w = np.zeros(26)
-    for _ in range(rounds if names else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
-        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(26)
-        step = np.linalg.solve(hessian, x.T @ (n * (p - y)) + 0.1 * w)
-        w -= step
-        if np.abs(step).max() < 1e-9:
-            break
+def shape_of(span: str) -> str:
+    """The span's characters by class, with long runs shortened."""
+    return _RUNS(r"\1\1\1\1+", "".join("9" if c.isdecimal() else "A" if c.isupper() else "a" if c.isalpha() else c for c in span))
+
+
+def features(text: str, start: int, end: int, kind: str) -> list[int]:
+    """Places of the weights for a candidate: its kind, votes and length, its shape, the three words before it and the one after."""
+    said = votes(text, start, end, kind)
+    seen = [f"shape {kind} {shape_of(text[start:end])}", *(f"before {w.lower()}" for w in _WORD(text[max(0, start - 40) : start])[-3:]), *(f"after {w.lower()}" for w in _WORD(text[end : end + 24])[:1])]
+    return [KINDS.index(kind), *(9 + 3 * k + v + 1 for k, v in enumerate(said)), 21 + min(3, (end - start) // 12), *sorted({25 + zlib.crc32(x.encode()) % HASHED for x in seen})]
+
+
+def train_classifier(rows: list[list[int]], target: np.ndarray, rounds: int = 300, l2: float = 0.3) -> np.ndarray:
+    """Weights (bias last) of a logistic regression of the likelihoods on the features, by AdaGrad on all rows."""
+    w, held = np.zeros(WEIGHTS), np.full(WEIGHTS, 1e-6)
+    if not rows:
+        return w
+    flat = np.array([x for r in rows for x in (*r, WEIGHTS - 1)])
+    row = np.repeat(np.arange(len(rows)), [len(r) + 1 for r in rows])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat], len(rows)), -60, 60)))
+        g = np.bincount(flat, (p - target)[row], WEIGHTS) + l2 * w
+        held += g * g
+        w -= 0.5 * g / np.sqrt(held)
     return w
 
 
-def accepted(w: np.ndarray, p: str) -> bool:
-    return float(w[_features(p)].sum() + w[25]) > 0
+def accepted(w: np.ndarray, found: list[int]) -> bool:
+    return float(w[found].sum() + w[-1]) > 0
 
 
-def count_patterns(docs: DataFrame) -> dict[str, int]:
-    """Vote patterns of all candidates in all texts, with their counts."""
+def candidates(docs: DataFrame) -> DataFrame:
+    """Every candidate's vote pattern, features, and a hash of its text and place."""
 
-    def count(batches):
+    def run(batches):
         import pyarrow as pa
+        from xxhash import xxh64_intdigest
 
-        total: dict[str, int] = {}
+        schema = pa.schema([("pattern", pa.string()), ("features", pa.list_(pa.int32())), ("hash", pa.int64())])
         for b in batches:
-            for text in b["text"].to_pylist():
+            out = []
+            for (text,) in rows_of(b, "text"):
                 base = base_spans(text)
-                for span in [*base, *apart(base, more_candidates(text))]:
-                    p = pattern(text, *span)
-                    total[p] = total.get(p, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([*total], pa.string()), pa.array([*total.values()], pa.int64())], names=["pattern", "n"])
+                if found := [*base, *apart(base, more_candidates(text))]:
+                    seed = xxh64_intdigest(text.encode())
+                    out += [(pattern(text, *s), features(text, *s), (seed + s[0] * 0x9E3779B97F4A7C15) % (1 << 64) - (1 << 63)) for s in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return docs.select("text").mapInArrow(run, "pattern string, features array<int>, hash long")
 
-    return dict(sorted((r[0], r[1]) for r in docs.select("text").mapInArrow(count, "pattern string, n long").groupBy("pattern").agg(F.sum("n")).collect()))  # patterns are bounded by kinds and votes
+
+def learn(docs: DataFrame, max_spans: int = 20_000) -> tuple[dict[str, int], dict[str, float], np.ndarray]:
+    """The counts of all vote patterns, their likelihoods, and the classifier's weights."""
+    held = cut(candidates(docs), "candidates")
+    counts = dict(sorted((r[0], r[1]) for r in held.groupBy("pattern").agg(F.count("*")).collect()))  # patterns are bounded by kinds and votes
+    posterior, _ = expectation_maximisation(counts)
+    some = held.orderBy("hash", "pattern", "features").limit(max_spans).select("pattern", "features").collect()
+    return counts, posterior, train_classifier([r.features for r in some], np.array([posterior[r.pattern] for r in some]))
 
 
 def spans_of(text: str, w: np.ndarray) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Base spans, and all spans: accepted candidates are added where they overlap no other span."""
     base = base_spans(text)
-    spans = base + [s for s in apart(base, more_candidates(text)) if accepted(w, pattern(text, *s))]
+    spans = base + [s for s in apart(base, more_candidates(text)) if accepted(w, features(text, *s))]
     return base, sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_spans: int = 20_000) -> DataFrame:
     """doc_id, base and spans: arrays of (kind, start, end) in code points, end exclusive."""
     prepare(docs.sparkSession)
     df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counts = count_patterns(df)
-    posterior, _ = expectation_maximisation(counts)
-    w = train_classifier(counts, posterior)
+    _, _, w = learn(df, max_spans)
 
     def run(batches):
         import pyarrow as pa
 
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for b in batches:
-            both = [spans_of(t, w) for t in b["text"].to_pylist()]
+            both = [spans_of(t, w) for (t,) in rows_of(b, "text")]
             columns = [pa.array([[{"kind": k, "start": a, "end": z} for a, z, k in x[side]] for x in both], kind) for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([b["doc_id"], *columns], names=["doc_id", "base", "spans"])
 
