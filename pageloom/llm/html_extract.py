@@ -3,12 +3,14 @@
 A page's text is split into nodes, each with its path of tags from the root. For every path the text length, the
 punctuation marks, the nodes and the spread of the nodes' lengths are aggregated; text per node and punctuation per node
 are fused with the spread into one ratio, lowered by the share of linked text. The ratios are smoothed with a Gaussian
-over the page's order of nodes, and nodes above a threshold from the page's own ratios select the content: the deepest
-element that holds all of them, or the outermost article or main element around it. Its blocks are the main text, whole, without parts that a tag, class, id
-or role marks as no part of an article.
+over the page's order of nodes, and nodes above a threshold from the page's own ratios are selected: the content is the
+deepest element that holds all of them, or the outermost article or main element around it. Its blocks are the main text,
+without parts that a tag, class, id or role marks as no part of an article, and without blocks of links that hold no
+selected node. A word does not drop the element that holds most of the selected text.
 
 Rows: a null page is an empty one and has an empty text. Pages without any text node above the threshold give the text
-of their article, main or body element. Repeated rows get a row each. Other columns are carried along by the query only.
+of their article, main or body element. Repeated rows get a row each, and an empty table none. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, rows_of
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S).finditer
-_ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""").findall
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""").findall
 _PUNCT = re.compile(r"[.,;:!?…。，、；：！？¿¡]").findall
 
 # Fixed values of HTML.
@@ -44,34 +46,35 @@ _MARKED = re.compile(
     r"|(?:[^\s]*[_-])?(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|sidebar|nav\w*|menu|breadcrumbs?|toolbar|pagination|pager|footer|masthead|topbar|cookies?|consent|gdpr|popup|subscri\w*|newsletter|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|reply|discussion|copyright|complementary|contentinfo|navigation)(?=$|[\s_-]))",
     re.I,
 ).search
-#: Words that no other word in the attributes outweighs, at the start of a name.
-_FOREIGN = re.compile(r"(?:^|\s)(?:comment|advert|cookie|sidebar)", re.I).search
-_KEPT = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|body|text)(?:$|[\s_-])", re.I).search
+#: Names that say how a page is laid out around its article.
+_LAYOUT = re.compile(r"(?:^|\s)(?:has|have|with|without|no|not|is|can|show|hide|toggle|overflow)[_-]", re.I).search
+#: Words that a part of an article does not have, even if it is long.
+_FOREIGN = re.compile(r"(?:^|\s)(?:comment|advert|cookie|sidebar)|(?:^|[\s_-])(?:adv|sponsor\w*|sidebar|nav\w*|menu|breadcrumbs?|pagination|pager|footer|masthead|cookies?|gdpr|newsletter|related|comments?|commentlist|disqus|replies)(?=$|[\s_-])", re.I).search
 
-
-DEEPEST = 512
+DEEPEST = 512  #: elements beyond hang on the last one above, so that no way up is longer
 WHOLE = ("html", "body", "article", "main")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "marked", "weight", "depth", "in_article", "order", "list")
+    __slots__ = ("tag", "parent", "holder", "path", "dropped", "marked", "foreign", "weight", "depth", "in_article", "order", "list")
 
-    def __init__(self, tag: str, parent: "Element | None", marked: bool, hidden: bool, order: int, paths: dict):
-        self.tag, self.parent, self.order = tag, parent, order
+    def __init__(self, tag: str, holder: "Element | None", marked: bool, foreign: bool, hidden: bool, order: int, paths: dict):
+        parent = holder.parent if holder and holder.depth >= DEEPEST else holder
+        self.tag, self.parent, self.holder, self.order = tag, parent, holder, order
         self.path = paths.setdefault((parent.path if parent else -1, tag), len(paths))  # a number for the tags from the root
-        self.list = order if tag in ("ul", "ol", "menu") else parent.list if parent else 0
+        self.list = order if tag in ("ul", "ol", "menu") else holder.list if holder else 0
         self.depth = parent.depth + 1 if parent else 0
-        self.in_article = bool(parent and parent.in_article) or tag in ("article", "main")
-        self.dropped = bool(parent and parent.dropped) or tag in DROPPED or hidden and tag not in WHOLE or tag == "header" and not (parent and parent.in_article)
+        self.in_article = bool(holder and holder.in_article) or tag in ("article", "main")
+        self.dropped = bool(holder and holder.dropped) or tag in DROPPED or hidden and tag not in WHOLE or tag == "header" and not (holder and holder.in_article)
         self.marked = marked and tag not in WHOLE  # a word alone; settle() says what it drops
+        self.foreign = foreign
         self.weight = 0.0
 
 
 def parse(page: str, made: list[Element] | None = None) -> Iterator[tuple[str, Element, int, bool]]:
     """(text, element, block, linked) of each text node in page order; block numbers change at block elements. Elements are added to ``made``."""
     paths: dict[tuple[int, str], int] = {}
-    root = top = Element("", None, False, False, 0, paths)
-    beyond: dict[str, int] = {}
+    root = top = Element("", None, False, False, False, 0, paths)
     stack, block, links, order = [root], 0, 0, 0
     raw_end = None
     at = 0
@@ -89,10 +92,6 @@ def parse(page: str, made: list[Element] | None = None) -> Iterator[tuple[str, E
             continue
         name = name.lower()
         if m[1]:
-            if beyond.get(name):
-                beyond[name] -= 1
-                block += name in BLOCK
-                continue
             if name in ("br", "hr"):
                 yield " ", top, block, links > 0
                 continue
@@ -139,19 +138,15 @@ def parse(page: str, made: list[Element] | None = None) -> Iterator[tuple[str, E
             continue
         if attrs.endswith("/") and name not in BLOCK:
             continue
-        marked = hidden = False
-        if "=" in attrs:
-            said = {k.lower(): a or b or c for k, a, b, c in _ATTR(attrs)}
+        marked = foreign = hidden = False
+        if attrs and not attrs.isspace():
+            said = {k.lower(): x or y or z for k, x, y, z in _ATTR(attrs)}
             words = " ".join(said.get(k, "") for k in ("class", "id", "role"))
-            marked = bool(_MARKED(words)) and not (_KEPT(words) and name not in ("form", "ul")) or bool(_FOREIGN(words))
-            hidden = said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "")
-        elif attrs.strip().lower() == "hidden":
-            hidden = True
-        if len(stack) > DEEPEST:  # as browsers do, no deeper: the text counts for the element it is in
-            beyond[name] = beyond.get(name, 0) + 1
-            continue
+            foreign = bool(_FOREIGN(words))
+            marked = bool(_MARKED(words)) or foreign and not _LAYOUT(words)
+            hidden = "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "")
         order += 1
-        top = Element(name, top, marked, hidden, order, paths)
+        top = Element(name, top, marked, foreign, hidden, order, paths)
         if made is not None:
             made.append(top)
         stack.append(top)
@@ -192,11 +187,13 @@ def common(elements: list[Element]) -> Element:
     return held
 
 
-def weights(nodes: list[tuple[str, Element, int, bool]], threshold: float) -> list[float]:
-    """The weight of each node; 0 if it is not selected."""
+def weights(nodes: list[tuple[str, Element, int, bool]], threshold: float) -> tuple[list[float], list[bool]]:
+    """The weight of each node, 0 if it is not selected, and whether its path alone, without its neighbours, selects it."""
     ratios = path_ratios(nodes)
-    smoothed = np.maximum(smooth(ratios), ratios * 0.5) * np.array([3.0 if e.in_article else 1.0 for _, e, _, _ in nodes])
-    return np.where(smoothed >= threshold * smoothed.mean(), smoothed * np.array([len(t) for t, _, _, _ in nodes]), 0.0).tolist()
+    inner = np.array([3.0 if e.in_article else 1.0 for _, e, _, _ in nodes])
+    smoothed = np.maximum(smooth(ratios), ratios * 0.5) * inner
+    least = threshold * smoothed.mean()
+    return np.where(smoothed >= least, smoothed * np.array([len(t) for t, _, _, _ in nodes]), 0.0).tolist(), (ratios * inner >= least).tolist()
 
 
 def around(e: Element | None) -> Iterator[Element]:
@@ -207,33 +204,47 @@ def around(e: Element | None) -> Iterator[Element]:
 
 
 def settle(made: list[Element], nodes: list[tuple[str, Element, int, bool]], threshold: float) -> None:
-    """Drop what words mark, but not what holds the page's article: its main or article element or, without one, most of the selected text."""
+    """Drop what words mark, but not what holds the page's article: around its main or article elements nothing is, and
+    within them, or on the whole page if it has none, no element with most of the text that the ratios select, unless it
+    stands in an article and its words are no article's.
+    """
     if any(e.marked for e in made):
-        held: dict[int, Element] = {}
-        free = False
-        for t, e, _, _ in nodes:
-            path = [*around(e)]
-            inner = [x for x in path if x.tag in ("article", "main")]
-            free = free or bool(inner) and not any(x.marked for x in around(inner[-1]))
-            for x in inner:
+        outer = [next((x for x in reversed([*around(e)]) if x.tag in ("article", "main")), None) for _, e, _, _ in nodes]
+        for (t, *_), x in zip(nodes, outer, strict=True):
+            if x:
                 x.weight += len(t)
-                held[x.order] = x
-        best = max(held.values(), key=lambda x: (x.tag == "main", x.weight, -x.depth)) if held and not free else None
-        if best and best.tag != "main" and 2 * best.weight < sum(len(t) for t, _, _, _ in nodes):
-            best = None  # such as a comment in an article element of its own
-        if not free and not best and nodes:
-            own = weights(nodes, threshold)
-            total: dict[Element, float] = {}
-            for (_, e, _, _), w in zip(nodes, own, strict=True):
-                for x in around(e):
-                    total[x] = total.get(x, 0.0) + w
-            most = 0.5 * sum(own)
-            for x in made:
-                x.marked = x.marked and not total.get(x, 0.0) > most
-        for x in around(best):
-            x.marked = False
-    for x in made:  # parents come first
-        x.dropped = x.dropped or x.marked or bool(x.parent and x.parent.dropped)
+        held = {x.order: x for x in outer if x}
+        scope = {k for k, x in held.items() if not any(y.marked for y in around(x))}
+        if not scope and held:
+            best = max(held.values(), key=lambda x: (x.tag == "main", x.weight, -x.depth))
+            if best.tag == "main" or 2 * best.weight >= sum(len(t) for t, *_ in nodes):  # else such as a comment in an article element of its own
+                scope = {best.order}
+                for x in around(best):
+                    x.marked = False
+        own = [n for n, x in zip(nodes, outer, strict=True) if x and x.order in scope] if scope else nodes
+        total: dict[Element, float] = {}
+        every = weights(own, threshold)[0] if own else []
+        for (_, e, _, _), w in zip(own, every, strict=True):
+            for x in around(e):
+                total[x] = total.get(x, 0.0) + w
+        for x in made:
+            if x.marked and total.get(x, 0.0) > 0.5 * sum(every) and not (scope and x.foreign):
+                x.marked = False
+    for x in made:  # holders come first
+        x.dropped = x.dropped or x.marked or bool(x.holder and x.holder.dropped)
+
+
+def menus_in(container: Element, nodes: list[tuple[str, Element, int, bool]], alone: list[bool]) -> set[Element]:
+    """Blocks within the container that hold no node whose path is selected, and three or more links that make up most of their text."""
+    held: dict[Element, list[float]] = {}
+    for (t, e, _, linked), w in zip(nodes, alone, strict=True):
+        way = [*around(e)]
+        if container in way:
+            for x in way[: way.index(container)]:
+                if x.tag in BLOCK and (x.tag not in PIECES or x.tag in ("ul", "ol", "dl", "table")):
+                    n = held.setdefault(x, [0, 0, 0, 0])
+                    n[0], n[1], n[2], n[3] = n[0] + len(t), n[1] + len(t) * linked, n[2] + linked, n[3] + w
+    return {x for x, (n, a, links, w) in held.items() if links >= 3 and 2 * a > n and not w}
 
 
 def extract(page: str | None, threshold: float = 0.5) -> str:
@@ -247,7 +258,7 @@ def extract(page: str | None, threshold: float = 0.5) -> str:
     nodes = [x for x in nodes if not x[1].dropped]
     if not nodes:
         return ""
-    weight = weights(nodes, threshold)
+    weight, alone = weights(nodes, threshold)
     chosen = [e for (_, e, _, _), w in zip(nodes, weight, strict=True) if w]
     container = common(chosen or [e for _, e, _, _ in nodes])  # no node counts if all text is linked
     while container.parent is not None and (container.tag in PIECES or container.tag not in BLOCK):  # its neighbours belong to the text too
@@ -257,30 +268,16 @@ def extract(page: str | None, threshold: float = 0.5) -> str:
         if up.tag in ("article", "main") or up.tag == "body" and not chosen and container.tag not in ("article", "main"):
             container = up
         up = up.parent
+    menus = menus_in(container, nodes, alone) if chosen else set()
     blocks: dict[int, list[str]] = {}
-    links: dict[int, list[int]] = {}
-    for t, e, b, a in every:
-        if e.dropped:
-            continue
-        up = e
-        while up is not None and up is not container:
-            up = up.parent
-        if up is None:
-            continue
-        t = html.unescape(t)
-        blocks.setdefault(b, []).append(t)
-        n = len(t.strip())
-        links.setdefault(b, [0, 0, 0])
-        links[b] = [links[b][0] + n, links[b][1] + (n if a else 0), links[b][2] or e.list]
-    lists: dict[int, list[int]] = {}
-    for total_chars, linked_chars, where in links.values():
-        if where and total_chars:
-            held = lists.setdefault(where, [0, 0, 0])
-            held[0] += total_chars
-            held[1] += linked_chars
-            held[2] += 1
-    menus = {k for k, (n, a, items) in lists.items() if items >= 3 and a >= 0.8 * n} if chosen else set()
-    out = [" ".join("".join(parts).split()) for b, parts in blocks.items() if links[b][2] not in menus]
+    inside: dict[Element, bool] = {}
+    for t, e, b, _ in every:
+        if e not in inside:
+            way = [*around(e)]
+            inside[e] = container in way and not e.dropped and menus.isdisjoint(way)
+        if inside[e]:
+            blocks.setdefault(b, []).append(html.unescape(t))
+    out = [" ".join("".join(parts).split()) for parts in blocks.values()]
     return "\n".join(x for x in out if x)
 
 
@@ -292,7 +289,7 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
         import pyarrow as pa
 
         for b in batches:
-            texts = [extract(x) for x in b["html"].to_pylist()]
+            texts = [extract(x) for (x,) in rows_of(b, "html")]
             yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(run, "page_id long, url string, text string, n_chars long")

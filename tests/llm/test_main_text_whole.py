@@ -46,3 +46,32 @@ def test_pages_of_links_only():
     want = "One 0\nTwo\nThree\nOne 1\nTwo\nThree"
     for page in (f"<body>{lists}</body>", f"<body><nav><a href=n>Home</a></nav><article><div>{lists}</div></article></body>", lists):
         assert html_extract.extract(page) == want
+
+
+@pytest.mark.parametrize("name", ["article-comments", "post-comments", "main-nav", "footer-content", "related-content", "sponsored-content", "entry-footer", "content-sidebar"])
+def test_parts_of_an_article_that_are_none_of_it(name):
+    text = "\n".join(para(300, f"Part{k}") for k in range(3))
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    for inner in ("<p>A reader says, with some words, that it is good.</p>", f"<p>{para(900, 'Foreign')}</p><p>{para(900, 'More')}</p>"):
+        assert html_extract.extract(f'<body><article>{body}<div class="{name}">{inner}</div></article></body>') == text, name
+
+
+@pytest.mark.parametrize("name", ["share", "related", "notice", "side", "comment-policy", "advertising-history", "cookie-recipes"])
+def test_a_word_alone_makes_no_page_empty(name):
+    text = "\n".join(para(300, f"Part{k}") for k in range(3))
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    assert html_extract.extract(f'<body><nav><a href=x>Home</a></nav><div class="{name}">{body}</div><footer>End</footer></body>') == text
+
+
+def test_hidden_and_deep_elements():
+    text = para(400)
+    assert html_extract.extract(f'<body><article><p>{text}</p><div hidden class="x"><p>{para(300, "Hidden")}</p></div></article></body>') == text
+    deep = "<div>" * 520 + "<nav><p>Menu, of many words, here.</p></nav>" + f"<p>{text}</p>" + "<div class=comments><div><p>A comment, short.</p></div></div>" + "</div>" * 520
+    assert html_extract.extract(f"<body>{deep}</body>") == text
+
+
+def test_blocks_of_links_in_an_article():
+    text = "\n".join(para(300, f"Part{k}") for k in range(3))
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    links = "".join(f"<div><a href=x>Another page {k}</a></div>" for k in range(4))
+    assert html_extract.extract(f"<body><article>{body}<div>See also: {links}</div></article></body>") == text
