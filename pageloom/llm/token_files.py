@@ -1,10 +1,12 @@
 """Token-ID files of independent zstandard frames with a trailing seek table and a checksum for each frame.
 
 A file is a row of zstandard frames, each of which holds the ids of some whole documents; then come two skippable
-frames. The first is the document index: for each frame its first document's place and its counts. The last is the seek
+frames. The first is the document index: for each frame its first document's place, its counts, and its least and greatest
+id. The last is the seek
 table of the Zstandard seekable format: compressed size, decompressed size and the low 32 bits of the content's XXH64
 for each frame, then the number of frames, a descriptor byte and the magic number. Readers fetch the end of the file
-first and then decompress only the frames that hold the documents they were asked for.
+first and then decompress only the frames that hold the documents they were asked for, by place or by id; the manifest
+has each file's least and greatest id.
 
 Rows: a null text is an empty one, and an empty text has the end id only. Repeated rows are written as often as they
 occur; rows of one id are ordered by text. A null id comes first. An empty table gives no files. Other columns are
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +26,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import AtomicFile, filesystem, prepare, range_shard
+from .common import AtomicFile, filesystem, prepare, range_shard, rows_of
 
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, SEEKABLE_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 
-_DOC, _INDEX = struct.Struct("<qBI"), struct.Struct("<QIQ")
-MANIFEST = "shard int, file string, n_docs long, n_tokens long, n_frames int, n_bytes long"
+_DOC, _INDEX = struct.Struct("<qBI"), struct.Struct("<QIQqq")
+NULL = -(1 << 63)  #: stands for a null id in the index, as nulls come first
+MANIFEST = "shard int, file string, n_docs long, n_tokens long, n_frames int, n_bytes long, first_id long, last_id long"
 
 
 class FrameWriter:
@@ -41,11 +45,13 @@ class FrameWriter:
 
         self.sink, self.frame_tokens, self.narrow = sink, frame_tokens, narrow
         self.compress = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True).compress
-        self.heads, self.ids, self.held = [], [], 0
+        self.heads, self.ids, self.held, self.ends = [], [], 0, None
         self.table, self.index, self.docs, self.tokens = [], [], 0, 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         n = len(ids) // 4
+        key = NULL if doc_id is None else doc_id
+        self.ends = (min(key, self.ends[0]), max(key, self.ends[1])) if self.ends else (key, key)
         self.heads.append(_DOC.pack(doc_id or 0, doc_id is None, n))
         self.ids.append(ids)
         self.held += n
@@ -62,9 +68,9 @@ class FrameWriter:
         packed = self.compress(body)
         self.sink.write(packed)
         self.table.append(struct.pack("<III", len(packed), len(body), xxhash.xxh64_intdigest(body) & 0xFFFFFFFF))
-        self.index.append(_INDEX.pack(self.docs, len(self.heads), len(ids)))
+        self.index.append(_INDEX.pack(self.docs, len(self.heads), len(ids), *self.ends))
         self.docs, self.tokens = self.docs + len(self.heads), self.tokens + len(ids)
-        self.heads, self.ids, self.held = [], [], 0
+        self.heads, self.ids, self.held, self.ends = [], [], 0, None
 
     def finish(self) -> None:
         self.flush()
@@ -111,11 +117,23 @@ class FrameReader:
     def documents(self, places: list[int]) -> dict[int, tuple[int | None, np.ndarray]]:
         """The documents at these places in the file; only the frames that hold them are read."""
         wanted, found = set(places), {}
-        for k, (first, n, _) in enumerate(self.index):
+        for k, (first, n, *_) in enumerate(self.index):
             if not wanted.isdisjoint(range(first, first + n)):
                 found.update((first + i, x) for i, x in enumerate(self.frame(k)) if first + i in wanted)
         return found
 
+    def find(self, doc_ids: list[int | None]) -> dict[int | None, list[np.ndarray]]:
+        """The ids of all documents with these numbers; only frames whose range holds one of them are read."""
+        wanted, found = {*doc_ids}, {}
+        keys = sorted(NULL if i is None else i for i in wanted)
+        for k, (*_, low, high) in enumerate(self.index):
+            at = bisect_left(keys, low)
+            if at < len(keys) and keys[at] <= high:
+                for i, ids in self.frame(k):
+                    if i in wanted:
+                        found.setdefault(i, []).append(ids)
+        return found
+
     def close(self) -> None:
         self.file.close()
 
@@ -142,23 +160,30 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, id_col: str
         def close():
             writer.finish()
             sink.commit()
-            rows.append((now, sink_uri, writer.docs, writer.tokens, len(writer.table), sink.size))
-
-        for batch in batches:
-            for s, i, text in zip(batch["shard"].to_pylist(), batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                if s != now:
-                    if writer:
-                        close()
-                    now, sink_uri = s, f"{out}/ids-{s:06d}.zst"
-                    sink = AtomicFile(sink_uri)
-                    writer = FrameWriter(sink, frame_tokens, level, narrow)
-                ids = encode(text) + end
-                if narrow and len(ids) > 4 and np.frombuffer(ids, "<u4").max() > 65535:
-                    raise ValueError("ids beyond 16 bits need narrow=False")
-                writer.add(i, ids)
-        if writer:
-            close()
-            yield pa.RecordBatch.from_pylist([dict(zip(("shard", "file", "n_docs", "n_tokens", "n_frames", "n_bytes"), r, strict=True)) for r in rows], pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_frames", pa.int32()), ("n_bytes", pa.int64())]))
+            low, high = writer.index[0][-16:-8], writer.index[-1][-8:]
+            low, high = (None if (x := struct.unpack("<q", e)[0]) == NULL else x for e in (low, high))
+            rows.append((now, sink_uri, writer.docs, writer.tokens, len(writer.table), sink.size, low, high))
+
+        try:
+            for batch in batches:
+                for s, i, text in rows_of(batch, "shard", "id", "text"):
+                    if s != now:
+                        if writer:
+                            close()
+                        now, sink_uri = s, f"{out}/ids-{s:06d}.zst"
+                        sink = AtomicFile(sink_uri)
+                        writer = FrameWriter(sink, frame_tokens, level, narrow)
+                    ids = encode(text) + end
+                    if narrow and len(ids) > 4 and np.frombuffer(ids, "<u4").max() > 65535:
+                        raise ValueError("ids beyond 16 bits need narrow=False")
+                    writer.add(i, ids)
+            if writer:
+                close()
+        finally:
+            if sink:
+                sink.abort()  # of a file that was not committed
+        names = MANIFEST.replace(",", "").split()[::2]
+        yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], pa.schema([(n, pa.string() if n == "file" else pa.int32() if n in ("shard", "n_frames") else pa.int64()) for n in names]))
 
     df.mapInArrow(write, MANIFEST).write.parquet(f"{out}/manifest")
     return read_manifest(spark, out)
