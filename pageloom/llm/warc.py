@@ -1,7 +1,8 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-The records are range-sorted by key into shards that depend on the keys alone; one task writes a shard and rolls to the
-next file when the compressed size passes a bound. Every record is a gzip member of its own. Headers and digests are
+The records are range-sorted by key into shards that depend on the keys and payload sizes alone, so that neither many
+nor large records make one task long; one task writes a shard and rolls to the next file when the compressed size passes
+a bound. Every record is a gzip member of its own. Headers and digests are
 made anew from the payload. Files get their names only when whole, and a manifest commits the archive.
 
 Of records with equal payloads of at least ``min_bytes`` bytes, the one with the smallest key is a response and the
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import AtomicFile, cut, filesystem, prepare, range_shard
+from .common import AtomicFile, cut, filesystem, prepare, range_shard, rows_of
 
 MANIFEST = "shard int, part int, file string, first_key long, last_key long, n_records long, n_bytes long, sha256 string"
 NAMESPACE = uuid.UUID("6f1d9c1e-8a52-5d0b-9b0e-3d8b8d1c7a10")
@@ -80,7 +81,7 @@ def read_records(uri: str, chunk: int = 1 << 20) -> Iterator[tuple[dict[str, str
             yield headers, block
 
 
-def write_warc(pages: DataFrame, out: str, *, key_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, rows_per_shard: int = 4096, roll_bytes: int = 256 << 20, date: str = "1970-01-01T00:00:00Z", level: int = 6) -> DataFrame:
+def write_warc(pages: DataFrame, out: str, *, key_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, rows_per_shard: int = 4096, bytes_per_shard: int = 128 << 20, roll_bytes: int = 256 << 20, date: str = "1970-01-01T00:00:00Z", level: int = 6) -> DataFrame:
     """Write all pages as records under ``out`` and return the manifest.
 
     Only the revisits' keys are shuffled by digest; the payloads are shuffled once, by key range, and each shard meets
@@ -91,7 +92,7 @@ def write_warc(pages: DataFrame, out: str, *, key_col: str = "page_id", url_col:
     keys = df.where(F.col("key").isNotNull() & (F.length("payload") >= min_bytes)).select("key", "url", F.sha1("payload").alias("digest"))
     first = keys.groupBy("digest").agg(F.min(F.struct("key", "url")).alias("to"), F.count("*").alias("n")).where("n > 1").select("digest", "to")
     revisits = cut(keys.join(first, "digest").where(F.col("key") > F.col("to.key")).select("key", "digest", F.col("to.key").alias("to_key"), F.col("to.url").alias("to_url")).distinct(), "revisits")
-    shard, n = range_shard(df, "key", rows_per_shard)
+    shard, n = range_shard(df, "key", rows_per_shard, F.length("payload"), bytes_per_shard)
     none = lambda kind: F.lit(None).cast(kind)
     both = df.select("key", "url", "payload", none("string").alias("digest"), none("long").alias("to_key"), none("string").alias("to_url"), F.lit(1).alias("kind")).unionByName(
         revisits.select("key", none("string").alias("url"), none("binary").alias("payload"), "digest", "to_key", "to_url", F.lit(0).alias("kind"))
@@ -107,27 +108,31 @@ def write_warc(pages: DataFrame, out: str, *, key_col: str = "page_id", url_col:
             sink.commit()
             rows.append({"shard": now, "part": part, "file": uri, "first_key": first_key, "last_key": last_key, "n_records": count, "n_bytes": sink.size, "sha256": sha.hexdigest()})
 
-        for batch in batches:
-            for s, key, kind, url, payload, digest, to_key, to_url in zip(*(batch[c].to_pylist() for c in ("shard", "key", "kind", "url", "payload", "digest", "to_key", "to_url")), strict=True):
-                if kind == 0:
-                    if targets[0] != key:
-                        targets = (key, {})
-                    targets[1][digest] = (to_key, to_url)
-                    continue
-                if sink is None or s != now or sink.size >= roll_bytes:
-                    if sink:
-                        close()
-                    part = part + 1 if s == now else 0
-                    now, uri, first_key, count, sha = s, f"{out}/records-{s:06d}-{part:04d}.warc.gz", key, 0, hashlib.sha256()
-                    sink = AtomicFile(uri)
-                to = targets[1].get(hashlib.sha1(payload).hexdigest()) if targets[0] == key and key is not None else None
-                data = member(record(key, url, payload, *(to or (None, "")), date), level)
-                sink.write(data)
-                sha.update(data)
-                last_key, count = key, count + 1
-        if sink:
-            close()
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("file", pa.string()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("n_records", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string())]))
+        try:
+            for batch in batches:
+                for s, key, kind, url, payload, digest, to_key, to_url in rows_of(batch, "shard", "key", "kind", "url", "payload", "digest", "to_key", "to_url"):
+                    if kind == 0:
+                        if targets[0] != key:
+                            targets = (key, {})
+                        targets[1][digest] = (to_key, to_url)
+                        continue
+                    if sink is None or s != now or sink.size >= roll_bytes:
+                        if sink:
+                            close()
+                        part = part + 1 if s == now else 0
+                        now, uri, first_key, count, sha = s, f"{out}/records-{s:06d}-{part:04d}.warc.gz", key, 0, hashlib.sha256()
+                        sink = AtomicFile(uri)
+                    to = targets[1].get(hashlib.sha1(payload).hexdigest()) if targets[0] == key and key is not None else None
+                    data = member(record(key, url, payload, *(to or (None, "")), date), level)
+                    sink.write(data)
+                    sha.update(data)
+                    last_key, count = key, count + 1
+            if sink:
+                close()
+        finally:
+            if sink:
+                sink.abort()  # of a file that was not committed
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("file", pa.string()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("n_records", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string())]))
 
     both.mapInArrow(write, MANIFEST).write.parquet(f"{out}/manifest")
     return read_manifest(spark, out)
