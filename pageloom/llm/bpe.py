@@ -89,8 +89,9 @@ class CachedEncoder:
             self.young[x] = np.array(e.ids, "<u4").tobytes()
 
 
-def encoder(path: str) -> CachedEncoder:
+def encoder(path: str, words: int = 900_000) -> CachedEncoder:
     """One encoder a Python worker; it outlives the task."""
-    if (path,) not in _loaded:
-        _loaded[(path,)] = CachedEncoder(path)
-    return _loaded[(path,)]
+    if (path, words) not in _loaded:
+        _loaded.clear()
+        _loaded[path, words] = CachedEncoder(path, words)
+    return _loaded[path, words]

@@ -12,7 +12,8 @@ histogram of piece lengths alone, which has ``window`` bins whatever the corpus:
 
 A piece's place follows from its length and its rank among the pieces of that length. Ranks are counted within each
 block of documents (one task's input, written down once) and shifted by the counts of the blocks before, so no length,
-however common, is gathered in one task.
+however common, is gathered in one task. Sequence numbers therefore follow the documents' order and split into files; the
+pieces and the padding do not depend on them.
 
 Rows: a null text is an empty one; an empty text is a piece of the end id alone. Repeated rows and null ids are packed
 like any other. An empty table gives no pieces. Other columns are not read.
@@ -29,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import cut, prepare
+from .common import ROW_BITS, Lists, cut, prepare, rows_of, write_lists
 
 PIECES = "block int, length int, rank long, doc_id long, start long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -138,7 +139,7 @@ def places(plan: list, window: int) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "uses", "base", "offset"), np.array(rows, np.int64).reshape(-1, 5).T, strict=True))
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0, remembered: int = 900_000) -> DataFrame:
     """The pieces of every document with their ranks within the block; written to the shared folder."""
     prepare(docs.sparkSession)
     end = struct.pack("<I", end_id)
@@ -147,11 +148,11 @@ def cut_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, block, seen = encoder(tokenizer).encode, TaskContext.get().partitionId(), [0] * (window + 1)
+        encode, block, seen = encoder(tokenizer, remembered).encode, TaskContext.get().partitionId(), [0] * (window + 1)
         schema = pa.schema([("block", pa.int32()), ("length", pa.int32()), *((n, pa.int64()) for n in ("rank", "doc_id", "start", "ids_crc32", "doc_tokens"))])
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for doc, text in rows_of(batch, "id", "text"):
                 ids = encode(text) + end
                 n = len(ids) // 4
                 for start in range(0, n, window):
@@ -165,17 +166,18 @@ def cut_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_
     return cut(df.mapInArrow(pieces, PIECES), "pieces")
 
 
-def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0, depth: int = 3) -> DataFrame:
-    """Each piece of every document with its sequence and its offset there."""
+def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0, depth: int = 3, remembered: int = 900_000) -> DataFrame:
+    """Each piece of every document with its sequence and its offset there. Tasks remember the ids of about ``remembered`` words; fewer take less memory and more time."""
     spark = docs.sparkSession
-    pieces = cut_pieces(docs, tokenizer, id_col=id_col, text_col=text_col, window=window, end_id=end_id)
+    pieces = cut_pieces(docs, tokenizer, id_col=id_col, text_col=text_col, window=window, end_id=end_id, remembered=remembered)
     counts = cut(pieces.groupBy("block", "length").agg(F.count("*").alias("n")), "counts")
     histogram = np.zeros(window + 1, np.int64)
     for length, n in counts.groupBy("length").agg(F.sum("n")).collect():  # a row for each length
         histogram[length] = n
     table = places(make_plan(histogram, window, depth), window)
     before = W.partitionBy("length").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    shifted = pieces.join(counts.select("block", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), ["block", "length"])
+    offsets = counts.select((F.shiftleft(F.col("block").cast("long"), ROW_BITS) + F.col("length")).alias("key"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    folder = write_lists(offsets, "offsets")  # each block finds its own, a row for each length
     key = table["length"] << 44 | table["first"] if len(table["length"]) else np.zeros(0, np.int64)
     held = spark.sparkContext.broadcast((key, table))  # bounded by the window and the combinations
 
@@ -183,11 +185,16 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
         import pyarrow as pa
 
         key, table = held.value
+        lists = Lists(folder, 2)
         for b in batches:
-            length, rank = b["length"].to_numpy().astype(np.int64), b["rank"].to_numpy() + b["before"].to_numpy()
+            if not b.num_rows:
+                continue
+            length, own = b["length"].to_numpy().astype(np.int64), b["block"].to_numpy().astype(np.int64) << ROW_BITS
+            entries = lists.of(own + length)
+            rank = b["rank"].to_numpy() + entries[np.searchsorted(entries[:, 0], own + length), 1]
             at = np.searchsorted(key, length << 44 | rank, side="right") - 1
             nth, uses = rank - table["first"][at], table["uses"][at]
             sequence, offset = table["base"][at] + nth // uses, table["offset"][at] + nth % uses * length
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["start"], pa.array(length), b["ids_crc32"], b["doc_tokens"], pa.array(sequence), pa.array(offset)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    return shifted.mapInArrow(place, PACKED)
+    return pieces.mapInArrow(place, PACKED)
