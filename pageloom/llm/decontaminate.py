@@ -2,31 +2,32 @@
 
 A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. A document
 contains a window if the window's words occur in it one after the other. For containment of a whole window one prefix
-token is enough: the join is on each window's rarest shingle, in the order of the shingles' counts over all documents,
-and on the shingle's place in the window. A document position that holds such a shingle gives one candidate start for
-each (window, place); starts before the first word or without room for the whole window are ruled out by place and
-length, and what is left is verified word for word.
+token is enough: its rarest shingle, in the order of the shingles' counts over all documents, at its place in the window.
 
-The benchmark is taken in blocks of at most ``block_chars`` characters, so what each executor holds is bounded; every
-block meets every document, and a document's hits from all blocks are united before they are counted.
+1. The items' shingles of ``shingle`` words (all of a shorter item) are counted in all documents; each window is filed
+   under its rarest.
+2. Documents give a candidate for every position with such a shingle, with the words around it. A table of bits, of a
+   bounded size whatever the benchmark's, keeps most others out; what it lets through by chance finds no partner.
+3. Candidates and windows are joined on the shingle. Starts before the first word or without room for the whole window
+   are ruled out by place and length, and the rest is verified word for word.
+
+So the benchmark's windows are shuffled or broadcast as Catalyst decides by their size, never held by the driver, and the
+documents are read twice whatever the benchmark's size. Each document's hits are united before they are counted.
 
 Rows: a null or empty text has no words, and so no hits. Repeated documents get a row each; repeated items (the same id)
-count once. Items with a null id count as items but are left out of the list of ids. An empty benchmark hits nothing.
-Other columns of either table are not read.
+count once. Items with a null id count as items but are left out of the list of ids. An empty benchmark hits nothing, and
+an empty table gives no rows. Other columns of either table are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import cut, prepare, rows_of
 
 #: Of UTF-8 after A-Z are lower-cased: digits, a-z and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")
@@ -39,129 +40,133 @@ def words_of(text: bytes | str | None) -> list[bytes]:
     return WORD.findall((text.encode() if isinstance(text, str) else text).lower())
 
 
-def windows_of(words: list[bytes], window: int) -> Iterator[tuple[bytes, ...]]:
-    for at in range(max(1, len(words) - window + 1) if words else 0):
-        yield tuple(words[at : at + window])
-
-
-class Index:
-    """The windows of a block of items, filed under their rarest shingle."""
-
-    def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int, shingle: int, counts: dict[tuple[bytes, ...], int]):
-        self.shingle, self.ids = shingle, [i for i, _ in items]
-        owners: dict[tuple[bytes, ...], set[int]] = {}
-        for at, (_, words) in enumerate(items):
-            for w in windows_of(words, window):
-                owners.setdefault(w, set()).add(at)
-        self.by_shingle: dict[bytes | tuple[bytes, ...], list[tuple[int, tuple[bytes, ...], list[int]]]] = {}
-        for w, own in owners.items():
-            k = min(shingle, len(w))
-            _, rarest, place = min((counts.get(w[p : p + k], 0), w[p : p + k], p) for p in range(len(w) - k + 1))
-            self.by_shingle.setdefault(rarest[0] if k == 1 else rarest, []).append((place, w, sorted(own)))
-        self.first = {k if isinstance(k, bytes) else k[0] for k in self.by_shingle}
-        self.sizes = sorted({1 if isinstance(k, bytes) else len(k) for k in self.by_shingle})
-
-    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-        """Spans of words that windows cover, and the items that own these windows."""
-        spans, found, first = [], set(), self.first
-        if first.isdisjoint(words):
-            return spans, found
-        for at in [i for i, w in enumerate(words) if w in first]:
-            for k in self.sizes:
-                for place, w, own in self.by_shingle.get(words[at] if k == 1 else tuple(words[at : at + k]), ()):
-                    start = at - place
-                    if start >= 0 and start + len(w) <= len(words) and tuple(words[start : start + len(w)]) == w:
-                        spans.append((start, start + len(w)))
-                        found.update(own)
-        return spans, found
-
-
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, list[bytes]]]]:
-    """The benchmark's items with their words, as lists of bounded size; the driver holds one at a time."""
-    part, held = [], 0
-    for i, text in benchmark.select(id_col, text_col).toLocalIterator():
-        if held and held + len(text or "") > block_chars:
-            yield part
-            part, held = [], 0
-        part.append((i, words_of(text)))
-        held += len(text or "")
-    if part:
-        yield part
-
-
-def shingle_counts(docs: DataFrame, wanted: set[tuple[bytes, ...]]) -> dict[tuple[bytes, ...], int]:
-    """How often each of these shingles occurs in all documents (a column ``text``)."""
-    held = docs.sparkSession.sparkContext.broadcast(wanted)
-
-    def count(batches):
+def shingles_of(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
+    """Each place of each window of each item: item, start, m (words of the window), place, token, first (word), size of the token."""
+
+    def run(batches):
         import pyarrow as pa
+        from xxhash import xxh64_intdigest
 
-        wanted, total = held.value, Counter()
-        sizes = sorted({len(w) for w in wanted})
-        single = {w[0] for w in wanted if len(w) == 1}
+        schema = pa.schema([("item", pa.int64()), ("id", pa.string()), ("words", pa.list_(pa.string())), ("tokens", pa.list_(pa.int64())), ("size", pa.int32())])
         for b in batches:
-            for text in b["text"].cast(pa.binary()).to_pylist():
-                words = words_of(text)
-                for k in sizes:
-                    if k == 1:
-                        total.update(filter(single.__contains__, words))
-                    else:
-                        total.update(s for s in zip(*(words[i:] for i in range(k)), strict=False) if s in wanted)
-        yield pa.RecordBatch.from_arrays([pa.array([s if isinstance(s, bytes) else b" ".join(s) for s in total], pa.binary()), pa.array([*total.values()], pa.int64())], names=["shingle", "n"])
+            out = []
+            for item, i, text in rows_of(b, "item", "id", "text"):
+                if words := words_of(text):
+                    k = min(shingle, len(words))
+                    hashes = [xxh64_intdigest(b" ".join(words[p : p + k])) for p in range(len(words) - k + 1)]
+                    out.append((item, i, [w.decode() for w in words], np.array(hashes, np.uint64).view(np.int64), k))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], f.type) for c, f in enumerate(schema)], schema=schema)
+
+    rows = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    items = cut(rows.mapInArrow(run, "item long, id string, words array<string>, tokens array<long>, size int"), "items")
+    m = F.least(F.lit(window), F.size("words"))
+    starts = items.select("item", "id", "words", "tokens", "size", m.alias("m"), F.explode(F.sequence(F.lit(0), F.size("words") - m)).alias("start"))
+    places = starts.select("item", "id", F.expr("slice(words, start + 1, m)").alias("window"), "size", "start", F.posexplode(F.expr("slice(tokens, start + 1, m - size + 1)")).alias("place", "token"))
+    return places.withColumn("first", F.expr("window[place]"))
+
+
+def bits_of(tokens: DataFrame, most: int = 1 << 28) -> dict:
+    """A table of at most ``most`` bits (a power of two) that says of a hash whether it may be one of ``tokens``, the words they start with and their sizes in words."""
+    tokens = cut(tokens.distinct(), "tokens")
+    size = min(most, max(1 << 12, 1 << (16 * tokens.count()).bit_length())) // 64
+    own = tokens.select(F.expr(f"cast(shiftrightunsigned(token, 6) & {size - 1}L as int)").alias("at"), F.expr("shiftleft(1L, cast(token & 63L as int))").alias("bit"))
+    rows = own.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most ``most`` / 64
+    table = np.zeros(size, np.uint64)
+    table[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    first = {r[0].encode() for r in tokens.select("first").distinct().collect()}  # of the benchmark's vocabulary
+    return {"table": table, "first": first, "sizes": sorted(r[0] for r in tokens.select("size").distinct().collect())}
+
+
+def seen(words: list[bytes], bits: dict):
+    """(position, token) of the shingles that may be among those of the table."""
+    from xxhash import xxh64_intdigest
+
+    first, table = bits["first"], bits["table"]
+    if first.isdisjoint(words):
+        return
+    at = [i for i, w in enumerate(words) if w in first]
+    for k in bits["sizes"]:
+        own = [i for i in at if i + k <= len(words)]
+        hashes = np.array([xxh64_intdigest(b" ".join(words[i : i + k])) for i in own], np.uint64)
+        held = table[(hashes >> np.uint64(6)) & np.uint64(len(table) - 1)] >> (hashes & np.uint64(63)) & np.uint64(1)
+        for x in np.flatnonzero(held).tolist():
+            yield own[x], hashes[x]
+
+
+def token_counts(docs: DataFrame, bits: dict, flush: int = 1 << 18) -> DataFrame:
+    """How often each shingle that may be among those of the table occurs in all texts."""
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        import pyarrow as pa
 
-    rows = docs.select("text").mapInArrow(count, "shingle binary, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()  # at most the block's shingles
-    held.unpersist()
-    return {tuple(bytes(r["shingle"]).split(b" ")): r["n"] for r in rows}
+        total: dict[int, int] = {}
 
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(np.array([*total], np.uint64).view(np.int64)), pa.array([*total.values()], pa.int64())], names=["token", "n"])
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 1, block_chars: int = 16 << 20, keep: list[str] | None = None) -> DataFrame:
-    """Each document's row, n_words, hits (word spans that windows cover, united, end exclusive), items (their ids, as strings, sorted), n_items.
+        for b in batches:
+            for (text,) in rows_of(b, "text"):
+                for _, token in seen(words_of(text), held.value):
+                    total[token] = total.get(token, 0) + 1
+            if len(total) > flush:
+                yield rows()
+                total.clear()
+        yield rows()
 
-    ``row`` is a struct of the id or of the columns in ``keep``, so names can't clash.
-    """
-    spark = prepare(docs.sparkSession)
-    kept = keep or [id_col]
-    df = docs.select(F.struct(*(F.col(c) for c in kept)).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    df = df.selectExpr("*", "0L as n_words", "from_json('[]', 'array<struct<start:int,end:int>>') as hits", "cast(array() as array<string>) as items", "0L as n_items")
-    schema = df.schema
-    source = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    seen = False
-    for items in blocks_of(benchmark, item_id_col, item_text_col, block_chars):
-        wanted = {w[p : p + k] for _, words in items for w in windows_of(words, window) for k in (min(shingle, len(w)),) for p in range(len(w) - k + 1)}
-        index = Index(items, window, shingle, shingle_counts(source, wanted) if wanted else {})
-        df = df.mapInArrow(_join(spark.sparkContext.broadcast(index)), schema)
-        seen = True
-    if not seen:
-        df = df.mapInArrow(_join(spark.sparkContext.broadcast(Index([], window, shingle, {}))), schema)
-    return df.select("row", "n_words", "hits", F.array_sort("items").alias("items"), "n_items")
-
-
-def _join(held):
-    """Adds one block's hits and items to those of the blocks before."""
-
-    def join(batches):
+    return docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def candidates(docs: DataFrame, bits: dict, window: int) -> DataFrame:
+    """Of each row (key, id, text) its words' number and its candidates: position, token, the words around and how many of them lie before the position."""
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
         import pyarrow as pa
 
-        index = held.value
+        kind = pa.list_(pa.struct([("at", pa.int32()), ("token", pa.int64()), ("near", pa.list_(pa.string())), ("before", pa.int32())]))
         for b in batches:
-            n_words, hits, items, n_items = [], [], [], []
-            for text, old_hits, old_items, old_n in zip(b["text"].cast(pa.binary()).to_pylist(), *(b[c].to_pylist() for c in ("hits", "items", "n_items")), strict=True):
-                words = words_of(text)
-                spans, found = index.find(words)
+            n_words, found = [], []
+            for (text,) in rows_of(b, "text"):
+                words, own = words_of(text), []
+                for at, token in seen(words, held.value):
+                    a = max(0, at - window + 1)
+                    own.append({"at": at, "token": int(token.view(np.int64)), "near": [w.decode() for w in words[a : at + window]], "before": at - a})
                 n_words.append(len(words))
-                if spans:
-                    spans = unite([*spans, *((h["start"], h["end"]) for h in old_hits)])
-                    ids = {index.ids[at] for at in found}
-                    new = {str(i) for i in ids if i is not None} - {*old_items}
-                    old_n += len(new) + sum(index.ids[at] is None for at in found)
-                    old_hits, old_items = [{"start": a, "end": z} for a, z in spans], [*old_items, *new]
-                hits.append(old_hits)
-                items.append(old_items)
-                n_items.append(old_n)
-            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b["row"], b["text"], pa.array(n_words, pa.int64()), pa.array(hits, span), pa.array(items, pa.list_(pa.string())), pa.array(n_items, pa.int64())], names=["row", "text", "n_words", "hits", "items", "n_items"])
+                found.append(own)
+            yield pa.RecordBatch.from_arrays([b["key"], b["id"], pa.array(n_words, pa.int64()), pa.array(found, kind)], names=["key", "id", "n_words", "found"])
+
+    own = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"key long, id {own}, n_words long, found array<struct<at:int,token:long,near:array<string>,before:int>>")
 
-    return join
+
+def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 3) -> DataFrame:
+    """Each row's key (monotonically_increasing_id of ``docs``), id, n_words, hits (word spans that windows cover, united, end exclusive), items (their ids, as strings, sorted), n_items."""
+    spark = prepare(docs.sparkSession)
+    own = docs.select(F.monotonically_increasing_id().alias("key"), F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    places = shingles_of(benchmark, item_id_col, item_text_col, window, shingle)
+    counts = cut(token_counts(own, bits_of(places.select("token", "first", "size"))), "token-counts")
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "place", "first", "size")).alias("r")
+    windows = places.join(counts, "token", "left").groupBy("item", "id", "start", "window").agg(rarest)
+    windows = cut(windows.select("item", "id", "window", "r.token", "r.place", "r.first", "r.size"), "windows")
+    each = cut(candidates(own, bits_of(windows.select("token", "first", "size")), window), "scanned")
+    found = each.select("key", F.inline("found"))
+    fits = "before >= place and slice(near, before - place + 1, size(window)) = window"  # a slice beyond the last word is shorter
+    hits = found.join(windows.select("token", "place", "window", "item", "id"), "token").where(fits).select("key", F.expr("at - place").alias("start"), F.expr("at - place + size(window)").alias("end"), "id", F.expr("if(id is null, item, null)").alias("nameless"))
+    spans = hits.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"), F.sort_array(F.collect_set("id")).alias("items"), F.count_distinct(F.struct("id", "nameless")).alias("n_items"))
+    none = "from_json('[]', 'array<struct<start:int,end:int>>')"
+    united = spans.mapInArrow(_unite, "key long, hits array<struct<start:int,end:int>>, items array<string>, n_items long")
+    return each.select("key", "id", "n_words").join(united, "key", "left").select("key", "id", "n_words", F.coalesce("hits", F.expr(none)).alias("hits"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), F.coalesce("n_items", F.lit(0)).alias("n_items"))
+
+
+def _unite(batches):
+    """Spans that overlap or touch become one."""
+    import pyarrow as pa
+
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for b in batches:
+        hits = [[{"start": a, "end": z} for a, z in unite([(s["start"], s["end"]) for s in spans])] for (spans,) in rows_of(b, "spans")]
+        yield pa.RecordBatch.from_arrays([b["key"], pa.array(hits, span), b["items"], b["n_items"]], names=["key", "hits", "items", "n_items"])
 
 
 def unite(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -177,4 +182,4 @@ def unite(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     n_hit = F.expr("cast(coalesce(aggregate(hits, 0, (n, h) -> n + h.end - h.start), 0) as long)")
-    return found.select(F.col("row")[id_col].alias(id_col), "n_words", n_hit.alias("n_hit"), "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return found.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
