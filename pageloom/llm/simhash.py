@@ -27,31 +27,40 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare
+from .common import cut, prepare, rows_of
 from .components import connected_components
 
 BITS = 64
 PROBE_COST = 4.0  #: of filing one value, in verified candidates
 
 
-def fingerprint(text: str, words_per_shingle: int = 3, seed: int = 42) -> int:
-    """Majority of the bits of the XXH64 of all word shingles, repeats included; A-Z are lower-cased first."""
+def shingle_hashes(text: str, words_per_shingle: int = 3, seed: int = 42) -> list[int]:
+    """The XXH64 of all word shingles in order, repeats included; A-Z are lower-cased first."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()  # of bytes: on 0x20 and 0x09 to 0x0D, and A-Z only
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     k = min(words_per_shingle, len(words))
     starts = [0, *(ends[: len(words) - k] + 1).tolist()]
+    return [xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=True)]
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes."""
     total = np.zeros(BITS, np.int64)
-    hashes = [xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=True)]
     for at in range(0, len(hashes), 8192):
-        total += np.unpackbits(np.array(hashes[at : at + 8192], "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        total += np.unpackbits(hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, words_per_shingle: int = 3, seed: int = 42) -> int:
+    """Majority of the bits of the hashes of all word shingles; zero for a text without words."""
+    return majority(np.array(shingle_hashes(text, words_per_shingle, seed), np.uint64))
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long."""
     prepare(docs.sparkSession)
@@ -60,7 +69,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         import pyarrow as pa
 
         for b in batches:
-            fps = [fingerprint(t, words_per_shingle, seed) for t in b["text"].to_pylist()]
+            fps = [fingerprint(t, words_per_shingle, seed) for (t,) in rows_of(b, "text")]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
     df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

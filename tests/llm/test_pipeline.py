@@ -4,12 +4,10 @@ import zlib
 
 import corpus_pipeline
 from pageloom.llm import queries, toxicity
-from tests.llm.test_operators import slow_components, slow_fingerprint
+from tests.llm.test_similar import slow_roots
 
 
 def test_stages(spark, sf):
-    import numpy as np
-
     docs = queries.table(spark, sf, "documents")
     model = queries.toxicity_model(spark, docs, sf)
     score = toxicity.Scorer(model)
@@ -19,7 +17,7 @@ def test_stages(spark, sf):
     assert {r.doc_id: r.text for r in step.collect()} == now and step.columns == docs.columns
     step = corpus_pipeline.drop_near_duplicates(spark, step, sf)
     ids = sorted(now)
-    roots = slow_components(np.array([slow_fingerprint(now[i]) for i in ids], np.uint64))
+    roots = slow_roots([now[i] for i in ids])
     now = {i: now[i] for k, i in enumerate(ids) if roots[k] == k}
     assert {r.doc_id for r in step.collect()} == set(now) and step.columns == docs.columns
     step = corpus_pipeline.drop_contaminated(spark, step, sf)
