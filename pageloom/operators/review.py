@@ -85,3 +85,9 @@ def document_list(traces: DataFrame, tenant_id: str) -> DataFrame:
     """A tenant's documents, newest first."""
     df = traces.where(F.col("tenant_id") == tenant_id)
     return df.select("document_id", "ingested_at", "total_pages", "chunks_emitted", "pages_quarantined", status(F.col("pages_quarantined")).alias("status")).orderBy(F.desc("ingested_at"), "document_id")
+
+
+def listing(df: DataFrame, name: str) -> dict:
+    """Rows and their number as an answer to a caller, such as of quarantine records or documents."""
+    rows = [r.asDict() for r in df.toLocalIterator()]
+    return {"count": len(rows), name: rows}

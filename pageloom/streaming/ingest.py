@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.tokens import Counter, words
+from ..functions.tokens import Counter
 from ..plans.ingest import ingest_pdf
 from ..sinks import files
 
@@ -18,12 +20,18 @@ def arriving(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(F.regexp_extract("path", r"([^/]+)\.pdf$", 1).alias("document_id"), "content", "length")
 
 
-def start(spark: SparkSession, folder: str, root: str, tenant_id: str, checkpoint: str, counter: Counter = words, available_now: bool = False) -> StreamingQuery:
+def start(spark: SparkSession, folder: str, root: str, tenant_id: str, checkpoint: str, counter: Counter | None = None, available_now: bool = False) -> StreamingQuery:
     """Ingest each batch of new files into the tables under ``root``; a repeated batch replaces its own documents."""
 
     def batch(df: DataFrame, _: int) -> None:
-        if not df.isEmpty():
-            files.save(ingest_pdf(df, counter), root, tenant_id)
+        if df.isEmpty():
+            return
+        began, done = time.monotonic(), ingest_pdf(df, counter)
+        try:
+            done.pages.count()  # the whole of reading and scoring, which the tables then share
+            files.save(done, root, tenant_id, df.select("document_id", "content"), (time.monotonic() - began) * 1000)
+        finally:
+            done.release()
 
     writer = arriving(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
