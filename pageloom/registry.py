@@ -11,6 +11,7 @@ from .operators import chunks, export, fidelity, layout, redact, review, summary
 from .plans.ingest import ingest_pdf
 from .sources import adapters as A
 from .sources.pdf_writer import text_pdfs
+from .sources.sample_report import report
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -72,12 +73,12 @@ numbered AS (
 
 @query(_LINES + "SELECT * FROM chunk_rows")
 def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(chunks.chunk_pages(A.document_pages(spark, sf_dir)))
+    return _flat(chunks.chunk_pages(A.document_pages(spark, sf_dir), tokens.words))
 
 
 @query(_TURNS + "SELECT * FROM chunk_rows")
 def chunk_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(chunks.chunk_pages(A.conversation_pages(spark, sf_dir)))
+    return _flat(chunks.chunk_pages(A.conversation_pages(spark, sf_dir), tokens.words))
 
 
 @query(
@@ -94,7 +95,7 @@ def section_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     " SELECT document_id, string_agg(CASE WHEN before IS DISTINCT FROM hierarchy THEN '# ' || hierarchy || chr(10) || chr(10) || text ELSE text END, chr(10) || chr(10) ORDER BY chunk_id) AS markdown FROM heads GROUP BY document_id"
 )
 def stitched_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.stitch(chunks.chunk_pages(A.conversation_pages(spark, sf_dir)))
+    return chunks.stitch(chunks.chunk_pages(A.conversation_pages(spark, sf_dir), tokens.words))
 
 
 @query()
@@ -255,7 +256,10 @@ def dims_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.check_dimensions(df, 128)
 
 
-@query()
+@query(
+    "WITH v AS (SELECT vec_id, list_transform(embedding, x -> regexp_replace(CASE WHEN contains(x::FLOAT::VARCHAR, 'e') THEN rtrim(x::FLOAT::VARCHAR::DOUBLE::DECIMAL(38, 18)::VARCHAR, '0') ELSE x::FLOAT::VARCHAR END, '\\.0?$', '')) AS parts FROM embeddings)"
+    " SELECT vec_id, '[' || array_to_string(parts, ',') || ']' AS literal FROM v"
+)
 def vector_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "embeddings").select("vec_id", T.vector_literal(F.col("embedding")).alias("literal"))
 
@@ -309,8 +313,52 @@ def pdf_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.summary.select("document_id", "total_pages", "pages_passed", "pages_warned", "pages_quarantined", "redact_clusters", "chunks_emitted", "tokens_processed", F.round("avg_fidelity", 6).alias("avg_fidelity"))
 
 
+def _report(spark: SparkSession):
+    return ingest_pdf(spark.createDataFrame([("report", report())], "document_id string, content binary"))
+
+
+@query("SELECT 'report' AS document_id, 27::BIGINT AS total_pages, 26::BIGINT AS pages_passed, 0::BIGINT AS pages_warned, 1::BIGINT AS pages_quarantined, 4::BIGINT AS redact_clusters, 8::BIGINT AS chunks_emitted")
+def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample report, read from its PDF file and ingested."""
+    return _report(spark).summary.select("document_id", "total_pages", "pages_passed", "pages_warned", "pages_quarantined", "redact_clusters", "chunks_emitted")
+
+
+@query(
+    "SELECT k::INTEGER AS page_num, CASE WHEN k = 13 THEN 0.0 ELSE 1.0 END::DOUBLE AS t_matrix, CASE WHEN k = 13 THEN 0.4 ELSE 1.0 END::DOUBLE AS s_fidelity, CASE WHEN k = 13 THEN 'quarantined' ELSE 'pass' END AS quality,"
+    " k IN (2, 13, 26) AS table_detected_in_pdf, k IN (2, 26) AS table_detected_in_md FROM range(1, 28) t(k)"
+)
+def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark).pages.select("page_num", "t_matrix", F.round("s_fidelity", 6).alias("s_fidelity"), "quality", "table_detected_in_pdf", "table_detected_in_md")
+
+
+@query(
+    "SELECT * FROM (VALUES (0, 'Product X > System Requirements', '1'), (1, 'Product X > Deployment Notes', '1'), (2, 'Product X > Quarterly Revenue', '2'), (3, 'Product Y > System Requirements', '3'), (4, 'Product Y > Appendix Notes', NULL),"
+    " (5, 'Product Y > Appendix Notes', NULL), (6, 'Product Y > Regional Headcount', '26'), (7, 'Product Y > Risk Factors Overview', '27')) t(chunk_id, hierarchy, pages)"
+)
+def report_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which pages fill the first part of the appendix is up to the counter, so its chunks' pages are left out."""
+    df = _flat(_report(spark).chunks)
+    return df.select("chunk_id", "hierarchy", F.when(~F.col("hierarchy").endswith("Appendix Notes"), F.col("pages")).alias("pages"))
+
+
+_TABLES = {
+    1: ["# Product X", "", "## System Requirements", "", "Product X needs at least sixteen gigabytes of memory and four cores that run at two gigahertz or faster. Storage grows with the data, and a fast disk of half a terabyte is a good start for production use.",
+        "## Deployment Notes", "", "Deploy to the second group of machines first and switch over when all checks have passed. Going back must be possible within a quarter of an hour, as the service agreement says."],
+    2: ["## Quarterly Revenue", "", "| Quarter | Product X | Product Y | Total |", "| --- | --- | --- | --- |", "| First | 12.5 | 3.0 | 15.5 |", "| Second | 13.9 | 3.5 | 17.4 |", "| Third | 15.1 | 4.0 | 19.1 |", "| Fourth | 16.9 | 4.1 | 21.0 |"],
+    26: ["## Regional Headcount", "", "| Region | Staff | Open |", "| --- | --- | --- |", "| North | 410 | 17 |", "| South | 266 | 8 |", "| East | 197 | 15 |"],
+    27: ["## Risk Factors Overview", "", "Market risk comes from changes in the rates of exchange between the regions in which the firm makes and sells its instruments each year. The board looks at these rates every quarter and buys cover for the larger part of them, so that earnings stay close to the plan. The treasury reports on this to the board.",
+         "", "Operational risk is mostly a matter of supply. Some parts come from one maker only, which may be cut off by new rules or by the weather. The firm keeps two makers for all parts that it needs in numbers, and tests twice a year how it would ship without its main harbour. Every region takes part in these tests."],
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({n}, '" + "' || chr(10) || '".join(rows) + "')" for n, rows in _TABLES.items()) + ") t(page_num, markdown)")
+def report_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with headings, a borderless and a ruled table, and two columns."""
+    return _report(spark).pages.where(F.col("page_num").isin(*_TABLES)).select("page_num", "markdown")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks and fidelity of every document, in one row each."""
-    of_chunks = chunks.chunk_pages(A.document_pages(spark, sf_dir)).groupBy("document_id").agg(F.count("*").alias("chunks_emitted"), F.sum("token_count").alias("tokens_processed"))
+    of_chunks = chunks.chunk_pages(A.document_pages(spark, sf_dir), tokens.words).groupBy("document_id").agg(F.count("*").alias("chunks_emitted"), F.sum("token_count").alias("tokens_processed"))
     gate = fidelity_gate(spark, sf_dir).select(F.col("doc_id").cast("string").alias("document_id"), "s_fidelity", "quality")
     return gate.join(of_chunks, "document_id", "left")

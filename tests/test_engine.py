@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageloom.functions import text as T
+from pageloom.functions import tokens
 from pageloom.operators import chunks, export, fidelity, layout, redact, review, summary
 from pageloom.plans.ingest import ingest_pdf
 from pageloom.schemas import ELEMENTS, EXPORT_CHUNKS, MARKDOWN, PAGES, QUARANTINE, TRACE_SPANS
@@ -18,7 +19,7 @@ def pages(spark, *markdown, doc="d"):
 
 
 def chunked(spark, *markdown):
-    return chunks.chunk_pages(pages(spark, *markdown)).orderBy("chunk_id").collect()
+    return chunks.chunk_pages(pages(spark, *markdown), tokens.words).orderBy("chunk_id").collect()
 
 
 def words(n):
@@ -263,3 +264,105 @@ def test_saved_ingest(spark, tmp_path):
         files.save(done, str(tmp_path), "A")
     assert files.read(spark, str(tmp_path), "traces", "A").count() == 2 and files.read(spark, str(tmp_path), "chunks", "B").count() == 0
     assert files.read(spark, str(tmp_path), "chunks", "A", "2").count() == done.chunks.where("document_id = '2'").count()
+
+
+def test_repeated_ingests_and_reviews(spark, tmp_path):
+    """A repeated ingest leaves nothing of the one before, and reviews outlast it."""
+    from pageloom.operators import review
+    from pageloom.sources.sample_report import page
+    from pageloom.sources.pdf_writer import pdf
+
+    root = str(tmp_path)
+    assert files.read(spark, root, "quarantine", "A").count() == 0
+    bad, good = pdf([page(13)]), pdf([page(3)])
+
+    def ingest(rows):
+        df = spark.createDataFrame(rows, "document_id string, content binary")
+        done = ingest_pdf(df)
+        files.save(done, root, "A", df)
+        done.release()
+
+    ingest([("a/b", bad), ("a_b", bad), ("c", good)])
+    records = {r.document_id: r for r in files.quarantined(spark, root, "A").collect()}
+    assert {*records} == {"a/b", "a_b"} and {r.status for r in records.values()} == {"pending"}
+    files.add_reviews(spark.createDataFrame([("A", records["a_b"].id, "approved", "better", None, None)], "tenant_id string, id string, status string, reviewed_markdown string, review_note string, reviewed_at timestamp"), root)
+    ingest([("a/b", good), ("a_b", bad)])
+    after = {r.document_id: r for r in files.quarantined(spark, root, "A").collect()}
+    assert {*after} == {"a_b"} and after["a_b"].status == "approved" and after["a_b"].reviewed_markdown == "better"
+    assert files.read(spark, root, "traces", "A").count() == 3 and files.read(spark, root, "pages", "A", "a/b").first().quality == "pass"
+    assert files.source_file(spark, root, "A", "a/b") == good and files.source_file(spark, root, "B", "a/b") is None
+    assert files.audit_report(spark, root, "A", "a_b").first().quality == "quarantined"
+    listed = review.listing(review.document_list(files.read(spark, root, "traces", "A"), "A"), "documents")
+    assert listed["count"] == 3 and len(listed["documents"]) == 3
+
+
+def test_budgets_are_in_tokens(spark):
+    """Unless a counter is given: a word such as w100 has two or three tokens."""
+    got = chunks.chunk_pages(pages(spark, "# T\n\n" + "\n\n".join([words(200)] * 3))).orderBy("chunk_id").collect()
+    assert len(got) == 3 and all(200 < r.token_count <= 512 for r in got)
+
+
+def test_frames(spark, tmp_path):
+    from pageloom.sources import frames
+
+    rows = [("one", b"%PDF-1"), ("two", b""), ("dre\u00ed", bytes(300))]
+    data = frames.encode(rows)
+    assert list(frames.decode(data)) == rows and data[:7] == b"\0\0\0\3one"
+    for bad in (data[:-1], data[:2], frames.frame(b"id"), b"\xff\xff\xff\xff"):
+        with pytest.raises(ValueError):
+            list(frames.decode(bad))
+    (tmp_path / "a").write_bytes(data)
+    (tmp_path / "b").write_bytes(data[:-1])
+    got = frames.read_frames(spark, str(tmp_path)).collect()
+    assert sorted(r.document_id for r in got if r.error is None) == sorted([*(i for i, _ in rows), "one", "two"]) and sum(r.error is not None for r in got) == 1
+
+
+def test_spans(spark):
+    import io
+    import json
+
+    from pageloom.plans import tracing
+
+    log = io.StringIO()
+    tracer = tracing.Tracer(log)
+    with pytest.raises(KeyError), tracer.span("ingest", document="d"):
+        with tracer.span("extract"):
+            pass
+        raise KeyError("x")
+    rows = {r.name: r for r in tracing.table(spark, tracer).collect()}
+    assert rows["extract"].parent_span_id == rows["ingest"].span_id and len(rows["ingest"].trace_id) == 32 and len(rows["ingest"].span_id) == 16
+    assert rows["ingest"].error.startswith("KeyError") and rows["ingest"].attributes == {"document": "d"} and rows["ingest"].duration_ms >= rows["extract"].duration_ms
+    assert [json.loads(x)["name"] for x in log.getvalue().splitlines()] == ["extract", "ingest"]
+    assert tracing.health(spark)["status"] == "ok"
+
+
+def test_vocabularies():
+    """Merges made from ranks are those that the tokenizer's own file lists."""
+    import base64
+    import json
+
+    import public_tokenizers as P
+
+    from pageloom.functions import vocabularies as V
+
+    own = V.byte_characters()
+    assert len({*own.values()}) == 256 and V.as_bytes(V.printable(bytes(range(256)))) == bytes(range(256)) and own[32] == "\u0120"
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        listed = json.load(f)["model"]["merges"]
+    listed = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in listed]
+    assert V.merges(ranks) == listed
+    assert V.widths_of_metrics(["C 65 ; WX 667 ; N A ; B 1 2 3 4 ;", "C -1 ; WX 333 ; N ring ;", "Comment"], {65: "A", 202: "ring"})[64:66] == [500, 667]
+
+
+def test_core_widths():
+    from pageloom.sources.pdf_fonts import core_font, font
+
+    get = lambda x: x
+    wide = lambda face, code, encoding="WinAnsiEncoding": round(core_font(face, encoding).by_byte[code] * 1000)
+    assert [wide("Helvetica", c) for c in (39, 0xCD, 0xED, 0xE9, 0x96, 0x97, 0xA9, 0xDF, 127)] == [191, 278, 278, 556, 556, 1000, 737, 611, 350]
+    assert [wide("Times-Italic", c) for c in (65, 0x93, 0xFC, 0xD7)] == [611, 556, 500, 675] and [wide("Times-BoldItalic", c) for c in (65, 0xAC, 0xDD)] == [667, 606, 611]
+    assert [wide("Helvetica", c, "StandardEncoding") for c in (39, 96, 164, 174, 0xE1, 128)] == [222, 222, 167, 500, 1000, 500]
+    assert font({"BaseFont": "Helvetica", "Encoding": "MacRomanEncoding"}, get).width(65) == 0.5
+    assert font({"BaseFont": "Arial,Italic", "Encoding": "WinAnsiEncoding"}, get).width(0xE9) == 0.556
