@@ -40,8 +40,16 @@ def words_of(text: bytes | str | None) -> list[bytes]:
     return WORD.findall((text.encode() if isinstance(text, str) else text).lower())
 
 
+def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each k hashes in a row."""
+    out = words[: len(words) - k + 1].copy()
+    for j in range(1, k):
+        out = (out ^ out >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + words[j : len(words) - k + 1 + j]
+    return (out ^ out >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+
+
 def shingles_of(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
-    """Each place of each window of each item: item, start, m (words of the window), place, token, first (word), size of the token."""
+    """Each place of each window of each item: item, id, window (its words), start, place, token (a shingle's hash), words (the shingle's)."""
 
     def run(batches):
         import pyarrow as pa
@@ -53,8 +61,8 @@ def shingles_of(benchmark: DataFrame, id_col: str, text_col: str, window: int, s
             for item, i, text in rows_of(b, "item", "id", "text"):
                 if words := words_of(text):
                     k = min(shingle, len(words))
-                    hashes = [xxh64_intdigest(b" ".join(words[p : p + k])) for p in range(len(words) - k + 1)]
-                    out.append((item, i, [w.decode() for w in words], np.array(hashes, np.uint64).view(np.int64), k))
+                    hashes = shingle_hashes(np.array([xxh64_intdigest(w) for w in words], np.uint64), k)
+                    out.append((item, i, [w.decode() for w in words], hashes.view(np.int64), k))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], f.type) for c, f in enumerate(schema)], schema=schema)
 
     rows = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -62,35 +70,44 @@ def shingles_of(benchmark: DataFrame, id_col: str, text_col: str, window: int, s
     m = F.least(F.lit(window), F.size("words"))
     starts = items.select("item", "id", "words", "tokens", "size", m.alias("m"), F.explode(F.sequence(F.lit(0), F.size("words") - m)).alias("start"))
     places = starts.select("item", "id", F.expr("slice(words, start + 1, m)").alias("window"), "size", "start", F.posexplode(F.expr("slice(tokens, start + 1, m - size + 1)")).alias("place", "token"))
-    return places.withColumn("first", F.expr("window[place]"))
+    return places.withColumn("words", F.expr("slice(window, place + 1, size)")).drop("size")
 
 
 def bits_of(tokens: DataFrame, most: int = 1 << 28) -> dict:
-    """A table of at most ``most`` bits (a power of two) that says of a hash whether it may be one of ``tokens``, the words they start with and their sizes in words."""
+    """A table of at most ``most`` bits (a power of two) that says of a hash whether it may be one of ``tokens`` (token, words); their words, and their sizes."""
+    from xxhash import xxh64_intdigest
+
     tokens = cut(tokens.distinct(), "tokens")
     size = min(most, max(1 << 12, 1 << (16 * tokens.count()).bit_length())) // 64
     own = tokens.select(F.expr(f"cast(shiftrightunsigned(token, 6) & {size - 1}L as int)").alias("at"), F.expr("shiftleft(1L, cast(token & 63L as int))").alias("bit"))
     rows = own.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most ``most`` / 64
     table = np.zeros(size, np.uint64)
     table[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    first = {r[0].encode() for r in tokens.select("first").distinct().collect()}  # of the benchmark's vocabulary
-    return {"table": table, "first": first, "sizes": sorted(r[0] for r in tokens.select("size").distinct().collect())}
-
-
-def seen(words: list[bytes], bits: dict):
-    """(position, token) of the shingles that may be among those of the table."""
-    from xxhash import xxh64_intdigest
-
-    first, table = bits["first"], bits["table"]
-    if first.isdisjoint(words):
-        return
-    at = [i for i, w in enumerate(words) if w in first]
+    words = [r[0].encode() for r in tokens.select(F.explode("words")).distinct().collect()]  # the benchmark's vocabulary
+    hashes = np.array([0, *map(xxh64_intdigest, words)], np.uint64)
+    return {"table": table, "places": {w: k for k, w in enumerate(words, 1)}, "hashes": hashes, "sizes": sorted(r[0] for r in tokens.select(F.size("words")).distinct().collect())}
+
+
+def seen(words: list[bytes], bits: dict) -> list[tuple[int, np.uint64]]:
+    """(position, token) of the shingles that may be among those of the table; all their words are known ones."""
+    get, table, out = bits["places"].get, bits["table"], []
+    own = np.array([get(w, 0) for w in words], np.int64)
+    if not own.any():
+        return out
+    hashes, known = bits["hashes"][own], own > 0
     for k in bits["sizes"]:
-        own = [i for i in at if i + k <= len(words)]
-        hashes = np.array([xxh64_intdigest(b" ".join(words[i : i + k])) for i in own], np.uint64)
-        held = table[(hashes >> np.uint64(6)) & np.uint64(len(table) - 1)] >> (hashes & np.uint64(63)) & np.uint64(1)
-        for x in np.flatnonzero(held).tolist():
-            yield own[x], hashes[x]
+        if k > len(words):
+            break
+        whole = known[: len(words) - k + 1]
+        for j in range(1, k):
+            whole = whole & known[j : len(words) - k + 1 + j]
+        at = np.flatnonzero(whole)
+        if len(at):
+            tokens = shingle_hashes(hashes, k)[at]
+            held = table[(tokens >> np.uint64(6)) & np.uint64(len(table) - 1)] >> (tokens & np.uint64(63)) & np.uint64(1)
+            some = np.flatnonzero(held)
+            out += zip(at[some].tolist(), tokens[some], strict=True)
+    return out
 
 
 def token_counts(docs: DataFrame, bits: dict, flush: int = 1 << 18) -> DataFrame:
@@ -108,7 +125,7 @@ def token_counts(docs: DataFrame, bits: dict, flush: int = 1 << 18) -> DataFrame
         for b in batches:
             for (text,) in rows_of(b, "text"):
                 for _, token in seen(words_of(text), held.value):
-                    total[token] = total.get(token, 0) + 1
+                    total[int(token)] = total.get(int(token), 0) + 1
             if len(total) > flush:
                 yield rows()
                 total.clear()
@@ -145,11 +162,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     spark = prepare(docs.sparkSession)
     own = docs.select(F.monotonically_increasing_id().alias("key"), F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     places = shingles_of(benchmark, item_id_col, item_text_col, window, shingle)
-    counts = cut(token_counts(own, bits_of(places.select("token", "first", "size"))), "token-counts")
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "place", "first", "size")).alias("r")
+    counts = cut(token_counts(own, bits_of(places.select("token", "words"))), "token-counts")
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "place", "words")).alias("r")
     windows = places.join(counts, "token", "left").groupBy("item", "id", "start", "window").agg(rarest)
-    windows = cut(windows.select("item", "id", "window", "r.token", "r.place", "r.first", "r.size"), "windows")
-    each = cut(candidates(own, bits_of(windows.select("token", "first", "size")), window), "scanned")
+    windows = cut(windows.select("item", "id", "window", "r.token", "r.place", "r.words"), "windows")
+    each = cut(candidates(own, bits_of(windows.select("token", "words")), window), "scanned")
     found = each.select("key", F.inline("found"))
     fits = "before >= place and slice(near, before - place + 1, size(window)) = window"  # a slice beyond the last word is shorter
     hits = found.join(windows.select("token", "place", "window", "item", "id"), "token").where(fits).select("key", F.expr("at - place").alias("start"), F.expr("at - place + size(window)").alias("end"), "id", F.expr("if(id is null, item, null)").alias("nameless"))
