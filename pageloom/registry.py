@@ -194,6 +194,45 @@ def page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.columns(A.order_cells(spark, sf_dir)).groupBy("page_num").agg(F.count("*").alias("cells"), F.max("column_num").alias("column_num"))
 
 
+@query(
+    "WITH p AS (SELECT DISTINCT (p_partkey // 10 + 1)::INTEGER AS page_num, (p_partkey % 10)::INTEGER AS line FROM part), n AS (SELECT page_num, count(*) AS n FROM p GROUP BY 1), r AS (SELECT p.*, k FROM p, range(2) t(k) WHERE k = 0 OR page_num % 2 = 1)"
+    " SELECT page_num, (line * 2 + k)::INTEGER AS elem_seq, (CASE WHEN n >= 10 THEN k ELSE 0 END)::INTEGER AS column_num FROM r JOIN n USING (page_num)"
+)
+def two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = layout.columns(A.paired_lines(spark, sf_dir))
+    return df.select("page_num", "elem_seq", "column_num")
+
+
+_LEVELS = ("o_orderstatus", "o_orderpriority", "year(o_orderdate)", "quarter(o_orderdate)", "month(o_orderdate)", "day(o_orderdate)")
+
+
+@query(
+    "WITH o AS (SELECT o_custkey, o_orderkey, " + ", ".join(f"{c}::VARCHAR AS h{k}" for k, c in enumerate(_LEVELS, 1)) + " FROM orders),"
+    " c1 AS (SELECT *, h1 IS DISTINCT FROM lag(h1) OVER w AS c1 FROM o WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))"
+    + "".join(f", c{k} AS (SELECT *, c{k - 1} OR h{k} IS DISTINCT FROM lag(h{k}) OVER w AS c{k} FROM c{k - 1} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))" for k in range(2, 7))
+    + " SELECT o_custkey::VARCHAR AS document_id, (row_number() OVER w)::INTEGER AS page_num, sum(" + " + ".join(f"c{k}::INTEGER" for k in range(1, 7)) + ")  OVER w::BIGINT AS section,"
+    " concat_ws(' > ', h1, h2, h3, h4, h5, h6) AS hierarchy FROM c6 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)"
+)
+def outline_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = chunks.with_context(chunks.nodes(A.outline_pages(spark, sf_dir))).where("node_type = 'paragraph'")
+    return df.select("document_id", "page_num", "section", F.array_join("hierarchy", " > ").alias("hierarchy"))
+
+
+@query(
+    "WITH o AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), s AS (SELECT l_orderkey, CASE WHEN n < 2 OR l_orderkey % 2 = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS t, greatest(0.0, 1.0 - (n - 1) / 20.0)::DOUBLE AS c FROM o)"
+    " SELECT l_orderkey AS page, t AS t_matrix, round(0.4 * c + 0.6 * t, 6) AS s_fidelity FROM s"
+)
+def table_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tables: of every other one the Markdown has lost the table, and of each some text."""
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", "l_partkey", "l_suppkey", "l_returnflag"), F.lit(" |"))
+    df = A.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg(F.sort_array(F.collect_list(row)).alias("r"), F.count("*").cast("int").alias("n"))
+    table = F.array_join(F.concat(F.slice("r", 1, 1), F.array(F.lit("| --- | --- | --- |")), F.slice("r", F.lit(2), F.size("r"))), "\n")
+    md = fidelity.markdown_grid(F.when(F.col("page") % 2 == 1, table).otherwise(F.array_join("r", " ")))
+    t = fidelity.table_score(F.when(F.col("n") >= 2, F.col("n")), F.when(F.col("n") >= 2, F.lit(3)), md)
+    scored = df.select("page", "n", t.alias("t_matrix"), fidelity.retention(F.lit(20).cast("long"), (F.lit(21) - F.col("n")).cast("long")).alias("c"))
+    return scored.select("page", "t_matrix", F.round(fidelity.fidelity(F.col("c"), F.col("t_matrix")), 6).alias("s_fidelity"))
+
+
 _MODE = "WITH c AS (SELECT p_brand, p_size * 2 AS bucket, count(*) AS n FROM part GROUP BY 1, 2), b AS (SELECT p_brand, bucket / 2.0 AS body_size FROM c QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, bucket) = 1)"
 
 
@@ -257,7 +296,7 @@ def dims_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH v AS (SELECT vec_id, list_transform(embedding, x -> regexp_replace(CASE WHEN contains(x::FLOAT::VARCHAR, 'e') THEN rtrim(x::FLOAT::VARCHAR::DOUBLE::DECIMAL(38, 18)::VARCHAR, '0') ELSE x::FLOAT::VARCHAR END, '\\.0?$', '')) AS parts FROM embeddings)"
+    "WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: regexp_replace(CASE WHEN contains(x::FLOAT::VARCHAR, 'e') THEN rtrim(x::FLOAT::VARCHAR::DOUBLE::DECIMAL(38, 18)::VARCHAR, '0') ELSE x::FLOAT::VARCHAR END, '\\.0?$', '')) AS parts FROM embeddings)"
     " SELECT vec_id, '[' || array_to_string(parts, ',') || ']' AS literal FROM v"
 )
 def vector_literal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -55,6 +56,27 @@ def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select((F.col("l_orderkey") % 100).cast("string").alias("document_id"), F.col("l_orderkey").cast("int").alias("page_num"), "seg_seq", "s.*")
 
 
+OUTLINE = ("o_orderstatus", "o_orderpriority", "year", "quarter", "month", "day")
+
+
+def outline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer is a document, an order a page under headings of six levels, from its status to its day."""
+    df = table(spark, sf_dir, "orders").withColumns({"year": F.year("o_orderdate"), "quarter": F.quarter("o_orderdate"), "month": F.month("o_orderdate"), "day": F.dayofmonth("o_orderdate")})
+    page = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey"))
+    heads = [F.concat(F.lit("#" * n + " "), F.col(c).cast("string")) for n, c in enumerate(OUTLINE, 1)]
+    return df.select(F.col("o_custkey").cast("string").alias("document_id"), page.alias("page_num"), F.concat_ws("\n\n", *heads, F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"))).alias("markdown"))
+
+
+def paired_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten parts are a page, each a line: on odd pages two runs of six words with a gutter between, on even pages one run."""
+    df = table(spark, sf_dir, "part").select((F.expr("p_partkey div 10") + 1).cast("int").alias("page_num"), (F.col("p_partkey") % 10).cast("int").alias("line"))
+    two = F.col("page_num") % 2 == 1
+    runs = F.when(two, F.array(F.struct(F.lit(0).alias("k"), F.lit(50.0).alias("a"), F.lit(290.0).alias("z")), F.struct(F.lit(1).alias("k"), F.lit(330.0).alias("a"), F.lit(570.0).alias("z")))).otherwise(F.array(F.struct(F.lit(0).alias("k"), F.lit(50.0).alias("a"), F.lit(570.0).alias("z"))))
+    y = 700.0 - 14.0 * F.col("line")
+    rows = df.select("page_num", "line", y.alias("y"), F.explode(runs).alias("r"))
+    return rows.select(F.lit("parts").alias("document_id"), "page_num", (F.col("line") * 2 + F.col("r.k")).alias("elem_seq"), F.lit("six words stand in this run").alias("text"), F.col("r.a").alias("x_min"), F.col("y").alias("y_min"), F.col("r.z").alias("x_max"), (F.col("y") + 10.0).alias("y_max"), F.lit(10.0).alias("font_size"))
+
+
 def part_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A brand is a document, a part an element whose size is its font size."""
     df = table(spark, sf_dir, "part")
