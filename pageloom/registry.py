@@ -98,13 +98,40 @@ def stitched_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.stitch(chunks.chunk_pages(A.conversation_pages(spark, sf_dir), tokens.words))
 
 
-@query()
+# DuckDB counts edits by byte, so letters with accents stand in for control characters, which the texts don't hold.
+_ACCENTS = "èéÍÊÄñÉßêçíÇÈÑöüÖóÓäÜáÁúÚà"
+_BYTES = " || ".join(f"chr({c})" for c in [*range(1, 9), *range(14, 32)][: len(_ACCENTS)])
+_ALIKE = "CASE WHEN {a} = {b} THEN true WHEN abs(len({a}) - len({b})) > 0.36 * greatest(len({a}), len({b})) THEN false ELSE 1.0::DOUBLE - levenshtein({a}, {b})::DOUBLE / greatest(len({a}), len({b})) >= 0.65::DOUBLE END"
+_CLUSTERS = f"""
+WITH RECURSIVE l AS (SELECT source, doc_id::INTEGER AS page, string_split(text, chr(10)) AS parts FROM documents),
+e AS (SELECT source AS doc, page, unnest(parts) AS line, generate_subscripts(parts, 1) AS k, len(parts) AS n FROM l),
+found AS (SELECT doc, page, k, CASE WHEN k = 1 THEN '0.04' ELSE '0.96' END AS zone, trim(line) AS text FROM e WHERE k = 1 OR k = n),
+firsts AS (SELECT doc, zone, text, min((page, k)) AS place FROM found GROUP BY ALL),
+ordered AS (SELECT doc, zone, text, translate(text, '{_ACCENTS}', {_BYTES}) AS key, row_number() OVER (PARTITION BY doc, zone ORDER BY place) AS r FROM firsts),
+walk AS (
+  SELECT doc, zone, r, [key] AS heads, text, key AS head FROM ordered WHERE r = 1
+  UNION ALL
+  SELECT doc, zone, r, CASE WHEN hit IS NULL THEN list_append(heads, key) ELSE heads END, text, coalesce(hit, key)
+  FROM (SELECT o.doc, o.zone, o.r, o.text, o.key, w.heads, list_filter(w.heads, lambda h: {_ALIKE.format(a="h", b="o.key")})[1] AS hit
+    FROM walk w JOIN ordered o ON o.doc = w.doc AND o.zone = w.zone AND o.r = w.r + 1)),
+named AS (SELECT w.doc, w.zone, w.text, o.text AS representative_text FROM walk w JOIN ordered o ON o.doc = w.doc AND o.zone = w.zone AND o.key = w.head),
+totals AS (SELECT source AS doc, count(*) AS total FROM documents GROUP BY 1),
+seen AS (SELECT doc, zone, representative_text, count(DISTINCT page) AS pages_seen FROM found JOIN named USING (doc, zone, text) GROUP BY ALL),
+clusters AS (SELECT doc, zone, representative_text, pages_seen, pages_seen / total AS frequency FROM seen JOIN totals USING (doc))
+"""
+
+
+@query(_CLUSTERS + "SELECT doc AS document_id, zone AS y_zone, representative_text, pages_seen, round(frequency, 6) AS frequency, frequency >= 0.3 AS redact FROM clusters")
 def redact_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements, pages = A.line_elements(spark, sf_dir)
     return redact.clusters(redact.candidates(elements, pages), redact.page_counts(pages)).withColumn("frequency", F.round("frequency", 6))
 
 
-@query()
+@query(
+    _CLUSTERS + ", bad AS (SELECT c.doc, c.zone, o.key FROM clusters c JOIN ordered o ON o.doc = c.doc AND o.zone = c.zone AND o.text = c.representative_text WHERE frequency >= 0.3),"
+    " gone AS (SELECT DISTINCT f.doc, f.page, f.k FROM found f JOIN ordered o ON o.doc = f.doc AND o.zone = f.zone AND o.text = f.text JOIN bad b ON b.doc = f.doc AND b.zone = f.zone WHERE " + _ALIKE.format(a="b.key", b="o.key") + ")"
+    " SELECT doc AS document_id, page AS page_num, count(*) AS kept FROM e ANTI JOIN gone USING (doc, page, k) GROUP BY doc, page"
+)
 def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements, pages = A.line_elements(spark, sf_dir)
     return redact.kept_elements(elements, pages).groupBy("document_id", "page_num").agg(F.count("*").alias("kept"))

@@ -5,8 +5,8 @@ import pytest
 
 from pageloom import registry
 
-#: Queries over PDF files of all documents and greedy clusters of all lines are slow on this data and have tests of their own.
-SLOW = {"pdf_ingest", "redact_clusters", "kept_lines"}
+#: A query over PDF files of all documents is slow on this data; the report_ queries and tests/test_pdf.py cover its parts.
+SLOW = {"pdf_ingest"}
 
 
 @pytest.fixture(scope="module")
