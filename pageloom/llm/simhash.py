@@ -201,8 +201,8 @@ def links(fps: DataFrame, tau: int = 2, bucket: int = 4096) -> DataFrame:
             fp = b["fp"].to_numpy().view(np.uint64)
             for m, (bits, t) in enumerate(zip(parts, thresholds, strict=True)):
                 if t >= 0:
-                    for k, key in enumerate(within(value_of(fp, bits), bits, t)):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), m, np.int32)), pa.array(key.view(np.int64)), b["fp"], pa.array(np.full(len(fp), k == 0))], names=["part", "key", "fp", "own"])
+                    for key in within(value_of(fp, bits), bits, t):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), m, np.int32)), pa.array(key.view(np.int64)), b["fp"]], names=["part", "key", "fp"])
 
     def verify(batches):
         now, held = None, []
@@ -220,15 +220,16 @@ def links(fps: DataFrame, tau: int = 2, bucket: int = 4096) -> DataFrame:
         if len(held) > 1 and (out := [*near(np.unique(np.array(held, np.int64).view(np.uint64)), tau)]):
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in zip(*out, strict=True)], names=["a", "b"])
 
-    filed = fps.select("fp").mapInArrow(file, "part int, key long, fp long, own boolean")
+    filed = fps.select("fp").mapInArrow(file, "part int, key long, fp long")
     if all(t <= 0 for t in thresholds):  # the counts at hand are the buckets' sizes
         sizes = values
     else:
         sizes = filed.groupBy("part", "key").agg(F.count("*").alias("n"))
     large = cut(sizes.where(F.col("n") > bucket).select("part", "key"), "large")
-    small = filed.join(large, ["part", "key"], "left_anti") if large.take(1) else filed
+    crowds = bool(large.take(1))
+    small = filed.join(large, ["part", "key"], "left_anti") if crowds else filed
     found = small.repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(verify, "a long, b long")
-    if large.take(1):
+    if crowds:
         crowded = filed.join(large, ["part", "key"], "left_semi").select("fp").distinct()
         flips = F.array(F.lit(0).cast("long"), *(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(BITS)))
         middle = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
