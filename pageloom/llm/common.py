@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -50,9 +51,26 @@ def shared_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_made: list[str] = []  #: the folders of this driver that ``scratch`` may still remove
+
+
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder under the shared one."""
-    return f"{shared_base(spark)}/{what}-{uuid.uuid4().hex[:12]}"
+    _made.append(f"{shared_base(spark)}/{what}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes the folders that were made within the block when it ends or fails."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        for uri in _made[first:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        del _made[first:]
 
 
 def cut(df: DataFrame, what: str) -> DataFrame:

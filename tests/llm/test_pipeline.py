@@ -1,9 +1,13 @@
 """The pipeline, stage by stage, against plain versions of its decisions."""
 
+import os
 import zlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from pageloom.llm import queries, toxicity
+from pageloom.llm.common import shared_base
 from tests.llm.test_similar import slow_roots
 
 
@@ -29,14 +33,19 @@ def test_stages(spark, sf):
     assert set(masked) == set(now) and step.columns == docs.columns and all(r.n_chars == len(r.text) for r in masked.values())
     packed = corpus_pipeline.pack(spark, step, sf).collect()
     assert {r.doc_id for r in packed} == set(now)
+    before = {*os.listdir(shared_base(spark).removeprefix("file://"))}
     whole = corpus_pipeline.run(spark, sf)
+    left = {*os.listdir(shared_base(spark).removeprefix("file://"))} - before
+    assert sorted(x.rpartition("-")[0] for x in left) == sorted(n.replace(" ", "-") for n, _ in corpus_pipeline.STAGES)
     assert whole.count() == len(packed) and set(whole.columns) >= {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"}
     assert zlib.crc32(b"") == 0
 
 
 def test_odd_rows(spark, sf):
     docs = queries.table(spark, sf, "documents").limit(3)
-    odd = spark.createDataFrame([(None, None, None, None, None), (None, "no id", "en", "s", 5), (1, "twice here", "en", "s", 10), (1, "twice here", "en", "s", 10), (2, "", "en", "s", 0), (3, None, "en", "s", None)], docs.schema)
+    more = F.lit(1).alias("a.b")  # a name that needs quoting
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, "no id", "en", "s", 5), (1, "twice here", "en", "s", 10), (1, "twice here", "en", "s", 10), (2, "", "en", "s", 0), (3, None, "en", "s", None)], docs.schema).select("*", more)
+    docs = docs.select("*", more)
     out = odd
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, out, sf)
