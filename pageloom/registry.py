@@ -278,7 +278,19 @@ def heading_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elements.join(sizes, "document_id").select("document_id", "elem_seq", layout.heading_depth(F.col("font_size"), F.col("body_size"), F.col("sizes")).alias("depth"))
 
 
-@query()
+@query(
+    "WITH m AS (SELECT page_id, string_split(regexp_replace(html, '(?s)(</?(?:h1|p|li|ul|article|footer|nav)\\b)', chr(1) || '\\1', 'g'), chr(1)) AS parts FROM pages),"
+    " b AS (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k, len(parts) AS n FROM m),"
+    " t AS (SELECT page_id, k, CASE WHEN starts_with(part, '<h1') THEN '# ' WHEN starts_with(part, '<li') THEN '- ' ELSE '' END || trim(regexp_replace(regexp_replace(part, '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS raw"
+    " FROM b WHERE k < n AND regexp_matches(part, '(?s)^<(?:h1|p|li)(?:\\s[^>]*)?>')),"
+    " l AS (SELECT page_id, trim(raw) AS line, row_number() OVER (PARTITION BY page_id ORDER BY k) AS r FROM t),"
+    " f AS (SELECT *, first_value(line) OVER (PARTITION BY page_id ORDER BY r) = '' AS blank_first FROM l),"
+    " j AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY r) AS j FROM f WHERE line <> ''),"
+    " c AS (SELECT *, len(regexp_extract(line, '^(#{1,6}) ', 1)) AS depth FROM j)"
+    " SELECT page_id::VARCHAR AS document_id, 1 AS page_num, (2 * j - CASE WHEN blank_first THEN 0 ELSE 1 END)::INTEGER AS node_seq,"
+    " CASE WHEN depth > 0 THEN 'header' WHEN starts_with(line, '|') THEN 'table' WHEN regexp_matches(line, '^[-*]') OR regexp_matches(line, '^[0-9]+\\.') THEN 'list' ELSE 'paragraph' END AS node_type,"
+    " CASE WHEN depth > 0 THEN depth::INTEGER END AS level, CASE WHEN depth > 0 THEN trim(regexp_replace(line, '^#+', '')) ELSE line END AS text FROM c"
+)
 def html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.nodes(A.html_markdown(spark, sf_dir))
 
