@@ -175,20 +175,22 @@ def export(chunks: DataFrame, exporter, embedder: Embedder | None = None, batch:
     exporter.prepare()
     filled = embed_missing(chunks, embedder).withColumn("vector_text", vector_literal(F.col("embedding")))
 
-    def write(rows):
+    def write(batches):
+        import pyarrow as pa
+
         part, n = [], 0
-        for r in rows:
-            d = r.asDict()
-            d["metadata"] = dict(d["metadata"] or {})
-            part.append(d)
-            if len(part) == batch:
-                exporter.upsert(part)
-                n, part = n + len(part), []
+        for b in batches:
+            for row in b.to_pylist():
+                part.append(row | {"metadata": dict(row["metadata"] or [])})
+                if len(part) == batch:
+                    exporter.upsert(part)
+                    n, part = n + len(part), []
         if part:
             exporter.upsert(part)
-        yield n + len(part)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n + len(part)], pa.int64())})
 
-    return {"target": exporter.name, "chunks_exported": sum(filled.rdd.mapPartitions(write).collect()), "embedder": type(embedder).__name__}
+    done = filled.mapInArrow(write, "n long").agg(F.sum("n")).first()[0]
+    return {"target": exporter.name, "chunks_exported": done, "embedder": type(embedder).__name__}
 
 
 def export_rows(chunks: DataFrame, approved: DataFrame | None = None) -> DataFrame:
