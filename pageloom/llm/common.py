@@ -266,5 +266,11 @@ def leave_out(rows: DataFrame, drop: DataFrame, text_col: str = "text") -> DataF
 
 def rows_of(batch, *columns: str, rows: int = 256):
     """The values of these columns row by row; few rows are Python objects at a time, however many whole texts a batch has."""
+    for part in slices_of(batch, *columns, rows=rows):
+        yield from zip(*part, strict=True)
+
+
+def slices_of(batch, *columns: str, rows: int = 256):
+    """The values of these columns as lists of few rows each."""
     for at in range(0, batch.num_rows, rows):
-        yield from zip(*(batch[c].slice(at, rows).to_pylist() for c in columns), strict=True)
+        yield [batch[c].slice(at, rows).to_pylist() for c in columns]
