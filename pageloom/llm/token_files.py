@@ -64,6 +64,8 @@ class FrameWriter:
         if not self.heads:
             return
         ids = np.frombuffer(b"".join(self.ids), "<u4")
+        if self.narrow and ids.max() > 65535:
+            raise ValueError("ids beyond 16 bits need narrow=False")
         body = struct.pack("<IB", len(self.heads), self.narrow) + b"".join(self.heads) + (ids.astype("<u2") if self.narrow else ids).tobytes()
         packed = self.compress(body)
         self.sink.write(packed)
@@ -173,10 +175,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, id_col: str
                         now, sink_uri = s, f"{out}/ids-{s:06d}.zst"
                         sink = AtomicFile(sink_uri)
                         writer = FrameWriter(sink, frame_tokens, level, narrow)
-                    ids = encode(text) + end
-                    if narrow and len(ids) > 4 and np.frombuffer(ids, "<u4").max() > 65535:
-                        raise ValueError("ids beyond 16 bits need narrow=False")
-                    writer.add(i, ids)
+                    writer.add(i, encode(text) + end)
             if writer:
                 close()
         finally:
