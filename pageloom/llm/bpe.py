@@ -20,12 +20,11 @@ class CachedEncoder:
     """``encode(text)`` gives little-endian unsigned 32-bit ids, the same as the library's ``encode(text, add_special_tokens=False)``.
 
     A byte-level pre-tokenizer starts a new piece at every blank that a character other than white space follows, so the
-    text is cut there and each word's ids, with the blank before it, are looked up; words not seen lately are encoded by
-    the library, many at once. Texts that hold an added token's string are encoded whole. At most two generations of
-    ``words`` words are remembered, and none that is longer than ``longest``.
+    text is cut there and each part's ids are looked up; parts not seen lately are encoded by the library, many at once.
+    Texts that hold an added token's string are encoded whole. At most two generations of ``words`` parts are remembered.
     """
 
-    def __init__(self, path: str, words: int = 900_000, longest: int = 256):
+    def __init__(self, path: str, words: int = 900_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -35,8 +34,7 @@ class CachedEncoder:
         pre = str(self.tokenizer.pre_tokenizer)
         self.by_word = pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre and self.tokenizer.normalizer is None
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words, self.longest = words, longest
-        self.young, self.old, self.bare = {}, {}, {}  # words after a blank, those of the generation before, and pieces without a blank
+        self.words, self.young, self.old = words, {}, {}
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, i in vocabulary.items():
@@ -49,58 +47,45 @@ class CachedEncoder:
         if not self.by_word or any(a in text for a in self.added):
             return self.whole(text)
         first, *rest = _AT_BLANK(text) if _ODD(text) else text.split(" ")
-        head = self.without_blank(first) if first else b""
+        parts = [" " + x for x in rest]
+        if first:
+            parts.insert(0, first)
         try:
-            return head + b"".join(map(self.young.__getitem__, rest))
+            return b"".join(map(self.young.__getitem__, parts))
         except KeyError:
-            long = self.learn(rest)
-            out = head + b"".join(map(self.young.__getitem__, rest))
-            for word in long:
-                del self.young[word]
-            return out
-
-    def without_blank(self, piece: str) -> bytes:
-        """The ids of a piece that no blank starts."""
-        if (known := self.bare.get(piece)) is None:
-            known = self.whole(piece)
-            if len(piece) <= self.longest:
-                if len(self.bare) > self.words // 4:
-                    self.bare.clear()
-                self.bare[piece] = known
-        return known
-
-    def learn(self, words: list[str]) -> list[str]:
-        """Makes all these words known; those that are too long to be remembered are given back."""
+            self.learn(parts)
+            return b"".join(map(self.young.__getitem__, parts))
+
+    def learn(self, parts: list[str]) -> None:
         if len(self.young) > self.words:
             self.old, self.young = self.young, {}
         young, old, composed, plain = self.young, self.old, {}, {}
-        new = {*words}.difference(young)
-        for word in new:
-            part = " " + word
-            if (known := old.get(word)) is not None:
-                young[word] = known
+        for part in {*parts}.difference(young):
+            if (known := old.get(part)) is not None:
+                young[part] = known
             elif _SIMPLE(part) and "\n\n" not in part and not part.endswith("\n") and len(pieces := _PARTS(part)) > 1:
-                composed[word] = pieces
-                plain.update((p[1:], None) for p in pieces if p[0] == " " and p[1:] not in young)
+                composed[part] = pieces
+                for piece in pieces:
+                    if piece not in young:
+                        plain[piece] = None
             else:
-                plain[word] = None
+                plain[part] = None
         self.remember([*plain])
-        for word, pieces in composed.items():
-            young[word] = b"".join([young[p[1:]] if p[0] == " " else self.without_blank(p) for p in pieces])
-        return [x for x in {*plain, *new} if len(x) > self.longest]
+        for part, pieces in composed.items():
+            young[part] = b"".join(map(young.__getitem__, pieces))
 
     def remember(self, new: list[str]) -> None:
-        """Words of letters and digits are encoded as one text; the ids that start with a blank tell them apart."""
-        joined = [x for x in new if x.isalnum()]
+        """Words that start with their only blank are encoded as one text; the ids that start with a blank tell them apart."""
+        joined = [x for x in new if x[0] == " " and x[1:].isalnum()]
         if joined:
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(joined)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, "<u4")
             at = [*np.flatnonzero(self.starts[ids]).tolist(), len(ids)]
             if len(at) != len(joined) + 1:
                 raise AssertionError("words and ids do not agree")
             data = ids.tobytes()
             self.young.update((x, data[4 * a : 4 * b]) for x, a, b in zip(joined, at, at[1:], strict=False))
         other = [x for x in new if x not in self.young]
-        for x, e in zip(other, self.tokenizer.encode_batch_fast([" " + x for x in other], add_special_tokens=False) if other else [], strict=True):
+        for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else [], strict=True):
             self.young[x] = np.array(e.ids, "<u4").tobytes()
 
 
