@@ -218,7 +218,7 @@ def grid_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey::INTEGER AS page_num, count(*) * 3 AS cells, 0 AS column_num FROM lineitem GROUP BY 1")
 def page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.columns(A.order_cells(spark, sf_dir)).groupBy("page_num").agg(F.count("*").alias("cells"), F.max("column_num").alias("column_num"))
+    return layout.columns(A.order_cells(spark, sf_dir, apart=True)).groupBy("page_num").agg(F.count("*").alias("cells"), F.max("column_num").alias("column_num"))
 
 
 @query(

@@ -16,3 +16,9 @@ def test_files_without_content_give_an_error_row(spark):
     df = spark.createDataFrame([("none", None, None), ("large", b"%PDF", pdf.MAX_BYTES + 1)], "document_id string, content binary, length long")
     assert sorted(r.document_id for r in pdf.errors(pdf.extract(df)).collect()) == ["large", "none"]
     assert pdf.errors(pdf.extract(df.drop("length").where("content is null"))).count() == 1
+
+
+def test_orders_with_many_rows_a_line_have_one_column(spark, tmp_path):
+    rows = spark.range(18).selectExpr("5L as l_orderkey", "id as l_partkey", "id as l_suppkey", "cast(id % 6 + 1 as int) as l_linenumber", "'N' as l_returnflag")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [tuple(r) for r in registry.QUERIES["page_columns"](spark, str(tmp_path)).select("page_num", "cells", "column_num").collect()] == [(5, 54, 0)]
