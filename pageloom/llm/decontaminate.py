@@ -10,6 +10,8 @@ token is enough: its rarest shingle, in the order of the shingles' counts over a
    bounded size whatever the benchmark's, keeps most others out; what it lets through by chance finds no partner.
 3. Candidates and windows are joined on the shingle. Starts before the first word or without room for the whole window
    are ruled out by place and length, and the rest is verified word for word.
+4. Equal windows of several items are one window here; it stands for the set of its items. A document's sets are made
+   distinct before items are looked up, so a passage that many items share costs each document what one item's would.
 
 So the benchmark's windows are shuffled or broadcast as Catalyst decides by their size, never held by the driver, and the
 documents are read twice whatever the benchmark's size. Each document's hits are united before they are counted.
@@ -24,6 +26,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,15 +80,19 @@ def bits_of(tokens: DataFrame, most: int = 1 << 28) -> dict:
     """A table of at most ``most`` bits (a power of two) that says of a hash whether it may be one of ``tokens`` (token, words); their words, and their sizes."""
     from xxhash import xxh64_intdigest
 
-    tokens = cut(tokens.distinct(), "tokens")
-    size = min(most, max(1 << 12, 1 << (16 * tokens.count()).bit_length())) // 64
-    own = tokens.select(F.expr(f"cast(shiftrightunsigned(token, 6) & {size - 1}L as int)").alias("at"), F.expr("shiftleft(1L, cast(token & 63L as int))").alias("bit"))
-    rows = own.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most ``most`` / 64
+    tokens = tokens.distinct().persist(StorageLevel.DISK_ONLY)
+    try:
+        size = min(most, max(1 << 12, 1 << (16 * tokens.count()).bit_length())) // 64
+        own = tokens.select(F.expr(f"cast(shiftrightunsigned(token, 6) & {size - 1}L as int)").alias("at"), F.expr("shiftleft(1L, cast(token & 63L as int))").alias("bit"))
+        rows = own.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most ``most`` / 64
+        words = [r[0].encode() for r in tokens.select(F.explode("words")).distinct().collect()]  # the benchmark's vocabulary
+        sizes = sorted(r[0] for r in tokens.select(F.size("words")).distinct().collect())
+    finally:
+        tokens.unpersist()
     table = np.zeros(size, np.uint64)
     table[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    words = [r[0].encode() for r in tokens.select(F.explode("words")).distinct().collect()]  # the benchmark's vocabulary
     hashes = np.array([0, *map(xxh64_intdigest, words)], np.uint64)
-    return {"table": table, "places": {w: k for k, w in enumerate(words, 1)}, "hashes": hashes, "sizes": sorted(r[0] for r in tokens.select(F.size("words")).distinct().collect())}
+    return {"table": table, "places": {w: k for k, w in enumerate(words, 1)}, "hashes": hashes, "sizes": sizes}
 
 
 def seen(words: list[bytes], bits: dict) -> list[tuple[int, np.uint64]]:
@@ -134,27 +141,39 @@ def token_counts(docs: DataFrame, bits: dict, flush: int = 1 << 18) -> DataFrame
     return docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def candidates(docs: DataFrame, bits: dict, window: int) -> DataFrame:
-    """Of each row (key, id, text) its words' number and its candidates: position, token, the words around and how many of them lie before the position."""
+def candidates(docs: DataFrame, bits: dict, window: int, flush: int = 1 << 13) -> DataFrame:
+    """Of each row (key, id, text) one with its words' number, and one for each of its candidates, which alone have a
+    position: at, token, the words around and how many of them lie before the position.
+    """
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("token", pa.int64()), ("near", pa.list_(pa.string())), ("before", pa.int32())]))
+        kinds = {"at": pa.int32(), "token": pa.int64(), "near": pa.list_(pa.string()), "before": pa.int32()}
         for b in batches:
-            n_words, found = [], []
-            for (text,) in rows_of(b, "text"):
-                words, own = words_of(text), []
+            names, n_words, found = ["key", "id", "n_words", *kinds], [], []
+
+            def rows(b=b, names=names, found=found):
+                keys, *own = zip(*found, strict=True)
+                empty = pa.nulls(len(keys), b["id"].type), pa.nulls(len(keys), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *empty, *map(pa.array, own, kinds.values())], names=names)
+
+            for key, text in rows_of(b, "key", "text"):
+                words = words_of(text)
                 for at, token in seen(words, held.value):
                     a = max(0, at - window + 1)
-                    own.append({"at": at, "token": int(token.view(np.int64)), "near": [w.decode() for w in words[a : at + window]], "before": at - a})
+                    found.append((key, at, int(token.view(np.int64)), [w.decode() for w in words[a : at + window]], at - a))
+                    if len(found) == flush:
+                        yield rows()
+                        found.clear()
                 n_words.append(len(words))
-                found.append(own)
-            yield pa.RecordBatch.from_arrays([b["key"], b["id"], pa.array(n_words, pa.int64()), pa.array(found, kind)], names=["key", "id", "n_words", "found"])
+            if found:
+                yield rows()
+            yield pa.RecordBatch.from_arrays([b["key"], b["id"], pa.array(n_words, pa.int64()), *(pa.nulls(b.num_rows, t) for t in kinds.values())], names=names)
 
     own = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"key long, id {own}, n_words long, found array<struct<at:int,token:long,near:array<string>,before:int>>")
+    return docs.mapInArrow(run, f"key long, id {own}, n_words long, at int, token long, near array<string>, before int")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 3) -> DataFrame:
@@ -162,18 +181,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     spark = prepare(docs.sparkSession)
     own = docs.select(F.monotonically_increasing_id().alias("key"), F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     places = shingles_of(benchmark, item_id_col, item_text_col, window, shingle)
-    counts = cut(token_counts(own, bits_of(places.select("token", "words"))), "token-counts")
+    counts = token_counts(own, bits_of(places.select("token", "words")))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "place", "words")).alias("r")
-    windows = places.join(counts, "token", "left").groupBy("item", "id", "start", "window").agg(rarest)
-    windows = cut(windows.select("item", "id", "window", "r.token", "r.place", "r.words"), "windows")
-    each = cut(candidates(own, bits_of(windows.select("token", "words")), window), "scanned")
-    found = each.select("key", F.inline("found"))
+    owner = F.expr("struct(id, if(id is null, item, null) as nameless)")
+    windows = places.join(counts, "token", "left").groupBy("window").agg(rarest, F.sort_array(F.collect_set(owner)).alias("owners"))
+    windows = cut(windows.select("window", "r.token", "r.place", "r.words", F.sha2(F.to_json("owners"), 256).alias("set"), "owners"), "windows")
+    scanned = cut(candidates(own, bits_of(windows.select("token", "words")), window), "scanned")
+    found = scanned.where("at is not null").select("key", "at", "token", "near", "before")
     fits = "before >= place and slice(near, before - place + 1, size(window)) = window"  # a slice beyond the last word is shorter
-    hits = found.join(windows.select("token", "place", "window", "item", "id"), "token").where(fits).select("key", F.expr("at - place").alias("start"), F.expr("at - place + size(window)").alias("end"), "id", F.expr("if(id is null, item, null)").alias("nameless"))
-    spans = hits.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"), F.sort_array(F.collect_set("id")).alias("items"), F.count_distinct(F.struct("id", "nameless")).alias("n_items"))
+    hits = found.join(windows.select("token", "place", "window", "set"), "token").where(fits).select("key", F.expr("at - place").alias("start"), F.expr("at - place + size(window)").alias("end"), "set")
+    hits = cut(hits.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"), F.collect_set("set").alias("sets")), "hits")
+    sets = windows.groupBy("set").agg(F.first("owners").alias("owners"))
+    named = hits.select("key", F.explode("sets").alias("set")).join(sets, "set").select("key", F.explode("owners").alias("owner")).groupBy("key").agg(F.collect_set("owner").alias("owners"))
+    items = named.select("key", F.expr("sort_array(filter(owners.id, i -> i is not null))").alias("items"), F.size("owners").cast("long").alias("n_items"))
+    united = hits.select("key", "spans").join(items, "key").mapInArrow(_unite, "key long, hits array<struct<start:int,end:int>>, items array<string>, n_items long")
     none = "from_json('[]', 'array<struct<start:int,end:int>>')"
-    united = spans.mapInArrow(_unite, "key long, hits array<struct<start:int,end:int>>, items array<string>, n_items long")
-    return each.select("key", "id", "n_words").join(united, "key", "left").select("key", "id", "n_words", F.coalesce("hits", F.expr(none)).alias("hits"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), F.coalesce("n_items", F.lit(0)).alias("n_items"))
+    each = scanned.where("at is null").select("key", "id", "n_words")
+    return each.join(united, "key", "left").select("key", "id", "n_words", F.coalesce("hits", F.expr(none)).alias("hits"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), F.coalesce("n_items", F.lit(0)).alias("n_items"))
 
 
 def _unite(batches):

@@ -434,6 +434,25 @@ def test_decontamination(spark, sf, odd, empty, documents):
     assert decontaminate.contamination(odd, bench.where("false")).where("size(hits) > 0").count() == 0
 
 
+def test_decontamination_of_a_passage_that_all_items_share(spark, monkeypatch):
+    """Hits are joined once a window, not once a window and item; candidates leave a worker in small batches."""
+    shared = " ".join(f"w{k}" for k in range(40))
+    bench = spark.createDataFrame([(i if i % 50 else None, f"{shared} own{i}") for i in range(300)], "item_id long, text string")
+    docs = spark.createDataFrame([(d, f"a {shared} b " * 3 if d else f"{shared} own7") for d in range(100)], "doc_id long, text string").coalesce(1)
+    tables, cut = {}, decontaminate.cut
+    monkeypatch.setattr(decontaminate, "cut", lambda df, what: tables.setdefault(what, cut(df, what)))
+    rows = {r.doc_id: r for r in decontaminate.digest(decontaminate.contamination(docs, bench)).collect()}
+    ids = lambda own: hashlib.sha256(",".join(sorted(map(str, own))).encode()).hexdigest()
+    want = [i for i in range(300) if i % 50]
+    assert (rows[0].n_hit, rows[0].n_items, rows[0].items_sha256) == (41, 300, ids(want))
+    assert all((rows[d].n_hit, rows[d].n_items, rows[d].items_sha256) == (120, 300, ids(want)) for d in range(1, 100))
+    assert tables["windows"].count() == 31 + 300
+    bits = decontaminate.bits_of(spark.createDataFrame([(int(decontaminate.shingle_hashes(np.array([xxhash.xxh64_intdigest(b"w5")], np.uint64), 1).view(np.int64)[0]), ["w5"])], "token long, words array<string>"))
+    own = docs.select(F.col("doc_id").alias("key"), F.col("doc_id").alias("id"), "text")
+    got = decontaminate.candidates(own, bits, 10, flush=7).where("at is not null").groupBy("key").agg(F.count("*").alias("n"), F.max(F.size("near")).alias("most")).collect()
+    assert len(got) == 100 and all((r.n, r.most) == (3 if r.key else 1, 19 if r.key else 15) for r in got)
+
+
 # 8: toxicity
 
 
