@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
@@ -63,6 +64,8 @@ class CachedEncoder:
         for part in {*parts}.difference(young):
             if (known := old.get(part)) is not None:
                 young[part] = known
+            elif part[1:].isalpha():
+                plain[part] = None
             elif _SIMPLE(part) and "\n\n" not in part and not part.endswith("\n") and len(pieces := _PARTS(part)) > 1:
                 composed[part] = pieces
                 for piece in pieces:
@@ -75,18 +78,28 @@ class CachedEncoder:
             young[part] = b"".join(map(young.__getitem__, pieces))
 
     def remember(self, new: list[str]) -> None:
-        """Words that start with their only blank are encoded as one text; the ids that start with a blank tell them apart."""
-        joined = [x for x in new if x[0] == " " and x[1:].isalnum()]
+        """Words of ASCII letters are single pieces, so the model gets them as the pre-tokenizer would give them, without the
+        passes over the text. Other words that start with their only blank are encoded as one text; the ids that start with
+        a blank tell them apart.
+        """
+        young, tokenize, rest = self.young, self.tokenizer.model.tokenize, []
+        for x in new:
+            if x.isascii() and (x[1:] if x[0] == " " else x).isalpha():
+                ids = [t.id for t in tokenize("Ġ" + x[1:] if x[0] == " " else x)]
+                young[x] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(x)
+        joined = [x for x in rest if x[0] == " " and x[1:].isalnum()]
         if joined:
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, "<u4")
             at = [*np.flatnonzero(self.starts[ids]).tolist(), len(ids)]
             if len(at) != len(joined) + 1:
                 raise AssertionError("words and ids do not agree")
             data = ids.tobytes()
-            self.young.update((x, data[4 * a : 4 * b]) for x, a, b in zip(joined, at, at[1:], strict=False))
-        other = [x for x in new if x not in self.young]
+            young.update((x, data[4 * a : 4 * b]) for x, a, b in zip(joined, at, at[1:], strict=False))
+        other = [x for x in rest if x not in young]
         for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else [], strict=True):
-            self.young[x] = np.array(e.ids, "<u4").tobytes()
+            young[x] = np.array(e.ids, "<u4").tobytes()
 
 
 def encoder(path: str, words: int = 900_000) -> CachedEncoder:

@@ -406,6 +406,24 @@ def test_range_shards(spark):
     assert max(sizes(repeated, 100)[0]) in range(400, 500)
 
 
+def test_words_of_ascii_letters_go_to_the_model():
+    class Seen:
+        def __init__(self, tokenizer):
+            self.inner, self.texts, self.model = tokenizer, [], tokenizer.model
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.inner.encode_batch_fast(texts, **options)
+
+    encoder = bpe.CachedEncoder(queries.tokenizer_path())
+    for text in ("Zyqwart plumbesk,\nVorrith ombelt", "naïve Straße 12ab x² it's  two ९ ǅa", " a", "", " ", "x", "Thé the\n\nend."):
+        assert encoder.encode(text) == encoder.whole(text) == encoder.encode(text)
+    encoder = bpe.CachedEncoder(queries.tokenizer_path())
+    seen = encoder.tokenizer = Seen(encoder.tokenizer)
+    ids = encoder.encode("Zyqwart plumbesk vorrith é ombelt")
+    assert seen.texts == [" é"] and ids == bpe.CachedEncoder(queries.tokenizer_path()).whole("Zyqwart plumbesk vorrith é ombelt")
+
+
 # 7: decontamination
 
 
